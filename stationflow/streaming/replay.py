@@ -1,0 +1,82 @@
+"""Run a table through a streaming query, in time slices.
+
+A backfill: the table is cut by event time, every slice is laid down as new
+files, and the query is started, drains what is there and stops; the next start
+goes on from the checkpoint. Each slice is one micro-batch however many files it
+has, so nothing is late that would not be late live.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import new_work_folder
+from .queries import start_query
+from .sinks import BatchFunction, batch_folder_writer, read_batches
+
+
+def replay_slices(
+    rows: DataFrame,
+    time: str,
+    pipeline: Callable[[DataFrame], DataFrame],
+    mode: str,
+    sink: str | BatchFunction,
+    slices: int = 3,
+    options: dict[str, str] | None = None,
+    name: str = "replay",
+) -> None:
+    """Feed ``rows`` to ``pipeline`` in ``slices`` parts, ordered by ``time``."""
+    spark = rows.sparkSession
+    folder = new_work_folder(spark, name)
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    low, high = rows.agg(F.min(micros), F.max(micros)).first()
+    if low is None:
+        low = high = 0
+    width = (high - low) // slices + 1
+    schema = rows.schema
+
+    def bound(i: int):
+        # A constant of the column's own type, so that the scan can skip by it.
+        return F.timestamp_micros(F.lit(low + i * width)).cast(schema[time].dataType)
+
+    for i in range(slices):
+        in_slice = (F.col(time) >= bound(i)) & (F.col(time) < bound(i + 1))
+        rows.where(in_slice).write.mode("append").parquet(f"{folder}/source")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/source")
+        query = start_query(
+            pipeline(stream),
+            name=f"{name}-{folder[-8:]}",
+            mode=mode,
+            sink=sink,
+            checkpoint=f"{folder}/checkpoint",
+            trigger={"availableNow": True},
+            options=options,
+        )
+        query.awaitTermination()
+
+
+def collect_updates(
+    rows: DataFrame,
+    time: str,
+    pipeline: Callable[[DataFrame], DataFrame],
+    mode: str,
+    slices: int = 3,
+    name: str = "replay",
+) -> DataFrame:
+    """Replay and return all output, with its micro-batch in ``batch``."""
+    spark: SparkSession = rows.sparkSession
+    out = new_work_folder(spark, f"{name}-out")
+    replay_slices(rows, time, pipeline, mode, batch_folder_writer(out), slices, name=name)
+    return read_batches(spark, out)
+
+
+def latest_per_key(updates: DataFrame, keys: Sequence[str], batch: str = "batch") -> DataFrame:
+    """Fold the output of update mode: the last row of each key stands."""
+    values = [c for c in updates.columns if c not in (*keys, batch)]
+    newest = updates.groupBy(*keys).agg(
+        F.max_by(F.struct(*values), F.col(batch)).alias("_latest")
+    )
+    return newest.select(*keys, *(F.col("_latest")[c].alias(c) for c in values))
