@@ -13,8 +13,12 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
 _DIGITS = r"[0-9](?:_?[0-9])*"
-_FLOAT = rf"^[-+]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][-+]?{_DIGITS})?$"
+_FLOAT = (
+    rf"^{_SPACE}([-+]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][-+]?{_DIGITS})?){_SPACE}$"
+)
+_INTEGER = rf"^{_SPACE}([-+]?{_DIGITS})(?:\.0*)?{_SPACE}$"
 
 
 def strip(text: Column) -> Column:
@@ -22,15 +26,22 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def _matched(text: Column, pattern: str, kind: str) -> Column:
+    # No match extracts the empty string, which casts to null: one regex and one
+    # cast per value, and ``text`` is evaluated once.
+    digits = F.regexp_extract(text.cast("string"), pattern, 1)
+    return F.translate(digits, "_", "").try_cast(kind)
+
+
 def to_number(text: Column) -> Column:
-    """``text`` as DOUBLE, null where it is no finite decimal number.
+    """``text`` as DOUBLE, null where it is no decimal number.
 
     The pattern keeps out what Spark's cast takes but a decimal literal is not:
-    type suffixes (``1d``), hexadecimal floats, ``nan`` and ``inf``. Digit groups
-    joined by single underscores (``1_000``) are numbers.
+    type suffixes (``1d``), hexadecimal floats, ``nan`` and ``inf``. White space
+    around a number is allowed, and so are digit groups joined by single
+    underscores (``1_000``).
     """
-    bare = strip(text.cast("string"))
-    return F.when(bare.rlike(_FLOAT), F.translate(bare, "_", "").try_cast("double"))
+    return _matched(text, _FLOAT, "double")
 
 
 def repair_spreadsheet_number(value: Column, year: int | str = 2025) -> Column:
@@ -54,16 +65,13 @@ def repair_spreadsheet_number(value: Column, year: int | str = 2025) -> Column:
 def typed_value(value: Column, kind: T.DataType | str) -> Column:
     """A raw field as ``kind``: blank and ``nan`` are null, text is stripped.
 
-    Text that does not read as the declared number is null as well.
+    Text that does not read as the declared number is null as well; an integer
+    may be written with a zero fraction (``5.0``).
     """
-    bare = strip(value.cast("string"))
-    known = F.when((bare != "") & (F.lower(bare) != "nan"), bare)
     name = kind if isinstance(kind, str) else kind.simpleString()
     if name == "string":
-        return known
+        bare = strip(value.cast("string"))
+        return F.when(~F.lower(bare).isin("", "nan"), bare)
     if name in ("double", "float"):
-        return to_number(known).cast(name)
-    number = to_number(known)
-    return F.when(known.rlike("^[-+]?[0-9]+$"), known.try_cast(name)).when(
-        number == F.floor(number), number.try_cast(name)
-    )
+        return to_number(value).cast(name)
+    return _matched(value, _INTEGER, name)

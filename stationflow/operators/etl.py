@@ -123,8 +123,8 @@ def load_table(
     fresh = unseen_rows(staged, existing, key, partition_by)
 
     loaded = Observation()
-    fresh = fresh.observe(loaded, F.count(F.lit(1)).alias("rows"))
     # Rows of one partition together, but AQE may split a crowded one.
     rebalanced = fresh.hint("rebalance", *partition_by)
-    rebalanced.write.mode("append").partitionBy(*partition_by).parquet(path)
+    counted = rebalanced.observe(loaded, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").partitionBy(*partition_by).parquet(path)
     return LoadResult(offered.get["rows"], loaded.get["rows"])

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strip, to_number
+from .once import computed_once
 
 
 def non_blank(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -27,20 +28,25 @@ def positional_fields(
 ) -> DataFrame:
     """Delimited lines to columns: text parts as they are, ``metrics`` as DOUBLE.
 
-    Blank lines, lines starting with ``header`` and lines of fewer than
-    ``min_fields`` fields are dropped; so is the whole line when any one metric
+    Blank lines, lines whose first field starts with ``header`` and lines of
+    fewer than ``min_fields`` fields are dropped; so is the whole line when any one metric
     is not a number, because a half-read reading would shift the extremes of its
     day. ``keep`` names further columns of ``lines`` to carry along.
     """
-    fields = F.split(F.col("_line"), sep if sep.isalnum() else f"\\Q{sep}\\E", -1)
-    accepted = (
-        lines.select(*keep, strip(F.col(value)).alias("_line"))
-        .where((F.col("_line") != "") & ~F.col("_line").startswith(header))
-        .select(*keep, fields.alias("_fields"))
-        .where(F.size("_fields") >= min_fields)
+    fields = F.split(strip(F.col(value)), f"\\Q{sep}\\E", -1)
+    split = computed_once(lines, keep, "_fields", fields)
+    accepted = split.where(
+        (F.size("_fields") >= max(min_fields, 2)) & ~F.col("_fields")[0].startswith(header)
     )
-    columns = []
-    for name, position in positions.items():
-        field = F.get(F.col("_fields"), F.lit(position))
-        columns.append((to_number(field) if name in metrics else field).alias(name))
-    return accepted.select(*keep, *columns).na.drop(subset=list(metrics))
+
+    def field(name: str) -> Column:
+        return F.get(F.col("_fields"), F.lit(positions[name]))
+
+    texts = [name for name in positions if name not in metrics]
+    numbers = F.struct(*(to_number(field(name)).alias(name) for name in metrics))
+    parsed = computed_once(
+        accepted, [*keep, *(field(name).alias(name) for name in texts)], "_metrics", numbers
+    )
+    return parsed.select(
+        *keep, *texts, *(F.col("_metrics")[name].alias(name) for name in metrics)
+    ).na.drop(subset=list(metrics))

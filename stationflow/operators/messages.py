@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import iso_text
+from .once import computed_once
+
 
 def parse_json(
     messages: DataFrame,
@@ -22,18 +25,19 @@ def parse_json(
 
     ``keep``      columns of the envelope to carry along, aliased as wanted
     ``fields``    payload field -> output name; all fields under their own names
-                  if not given. Fields nobody uses are not parsed.
+                  if not given. Only these are parsed.
     ``drop_null`` drop messages without payload. Text that is no JSON parses to a
                   struct of nulls and stays; use ``require`` against it.
     ``require``   payload fields that must be there
     """
     names = fields or {name: name for name in schema.fieldNames()}
-    parsed = messages.select(
-        *keep, F.from_json(F.col(value).cast("string"), schema).alias("_payload")
-    )
-    carried = parsed.columns[:-1]
+    wanted = T.StructType([f for f in schema.fields if f.name in names or f.name in require])
+    text = F.col(value).cast("string")
     if drop_null:
-        parsed = parsed.where(F.col("_payload").isNotNull())
+        # The payload of null, empty and blank text is null.
+        messages = messages.where(text.rlike(r"[^\x00-\x20]"))
+    parsed = computed_once(messages, keep, "_payload", F.from_json(text, wanted))
+    carried = parsed.columns[:-1]
     for name in require:
         parsed = parsed.where(F.col("_payload")[name].isNotNull())
     return parsed.select(
@@ -48,8 +52,6 @@ def to_json_value(
 
     ``sent_at`` names a field that receives the time of sending as ISO text.
     """
-    from ..functions import iso_text
-
     fields = [F.col(name) for name in rows.columns if name != sent_at]
     if sent_at:
         fields.append(iso_text(F.current_timestamp()).alias(sent_at))

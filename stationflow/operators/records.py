@@ -40,9 +40,11 @@ def explode_records(
     Struct elements are spread into columns; others keep the array's name.
     """
     element = documents.schema[records].dataType.elementType
+    # The inner form would have a filter on the array's size inferred and moved to
+    # where the array comes from; if that is a parser, it would parse again.
     exploded = documents.select(
-        *keep, F.posexplode(F.col(records)).alias(ordinal, "_record")
-    )
+        *keep, F.posexplode_outer(F.col(records)).alias(ordinal, "_record")
+    ).where(F.col(ordinal).isNotNull())
     if isinstance(element, T.StructType):
         values = [F.col("_record")[name].alias(name) for name in element.fieldNames()]
     else:

@@ -89,7 +89,7 @@ ORACLE = {
     SELECT (SELECT event_type FROM events ORDER BY value DESC, event_id LIMIT 1) AS warmest_event_type,
            (SELECT max(value) FROM events) AS warmest_value,
            (SELECT event_type FROM events ORDER BY value, event_id LIMIT 1) AS coldest_event_type,
-           (SELECT min(value) FROM events) AS coldest_value,
+           (SELECT min(value) + 0.0 FROM events) AS coldest_value,
            (SELECT event_type FROM events ORDER BY user_id DESC, event_id LIMIT 1)
              AS windiest_event_type,
            (SELECT max(user_id) FROM events) AS windiest_value""",
