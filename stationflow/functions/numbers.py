@@ -18,6 +18,7 @@ _DIGITS = r"[0-9](?:_?[0-9])*"
 _FLOAT = (
     rf"^{_SPACE}([-+]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][-+]?{_DIGITS})?){_SPACE}$"
 )
+_PLAIN = r"^[-+0-9.eE \t\r\n]+$"
 _INTEGER = rf"^{_SPACE}([-+]?{_DIGITS})(?:\.0*)?{_SPACE}$"
 
 
@@ -36,12 +37,18 @@ def _matched(text: Column, pattern: str, kind: str) -> Column:
 def to_number(text: Column) -> Column:
     """``text`` as DOUBLE, null where it is no decimal number.
 
-    The pattern keeps out what Spark's cast takes but a decimal literal is not:
-    type suffixes (``1d``), hexadecimal floats, ``nan`` and ``inf``. White space
-    around a number is allowed, and so are digit groups joined by single
-    underscores (``1_000``).
+    What Spark's cast takes but a decimal literal is not stays out: type suffixes
+    (``1d``), hexadecimal floats, ``nan`` and ``inf``. White space around a number
+    is allowed, and so are digit groups joined by single underscores (``1_000``).
+    A literal too large for a DOUBLE is infinite.
+
+    Text of plain number characters, the usual case, goes straight to the cast;
+    only what is left is matched against the whole grammar.
     """
-    return _matched(text, _FLOAT, "double")
+    text = text.cast("string")
+    return F.when(text.rlike(_PLAIN), text.try_cast("double")).otherwise(
+        _matched(text, _FLOAT, "double")
+    )
 
 
 def repair_spreadsheet_number(value: Column, year: int | str = 2025) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strip, to_number
+from ..functions.numbers import WHITESPACE
 from .once import computed_once
 
 
@@ -33,19 +34,26 @@ def positional_fields(
     is not a number, because a half-read reading would shift the extremes of its
     day. ``keep`` names further columns of ``lines`` to carry along.
     """
-    fields = F.split(strip(F.col(value)), f"\\Q{sep}\\E", -1)
-    split = computed_once(lines, keep, "_fields", fields)
+    # A separator that means nothing in a regex is split on without one.
+    pattern = f"\\Q{sep}\\E" if len(sep) > 1 or sep in ".$|()[{^?*+\\" else sep
+    split = computed_once(lines, keep, "_fields", F.split(F.col(value), pattern, -1))
+
+    def field(position: int) -> Column:
+        # Stripping the ends of a line is stripping its outer fields.
+        text = F.get(F.col("_fields"), F.lit(position))
+        if position == 0:
+            text = F.ltrim(text, F.lit(WHITESPACE))
+        if position >= min_fields - 1:
+            text = F.when(F.size("_fields") == position + 1, F.rtrim(text, F.lit(WHITESPACE))).otherwise(text)
+        return text
+
     accepted = split.where(
-        (F.size("_fields") >= max(min_fields, 2)) & ~F.col("_fields")[0].startswith(header)
+        (F.size("_fields") >= max(min_fields, 2)) & ~field(0).startswith(header)
     )
-
-    def field(name: str) -> Column:
-        return F.get(F.col("_fields"), F.lit(positions[name]))
-
     texts = [name for name in positions if name not in metrics]
-    numbers = F.struct(*(to_number(field(name)).alias(name) for name in metrics))
+    numbers = F.struct(*(to_number(field(positions[name])).alias(name) for name in metrics))
     parsed = computed_once(
-        accepted, [*keep, *(field(name).alias(name) for name in texts)], "_metrics", numbers
+        accepted, [*keep, *(field(positions[name]).alias(name) for name in texts)], "_metrics", numbers
     )
     return parsed.select(
         *keep, *texts, *(F.col("_metrics")[name].alias(name) for name in metrics)
