@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ...functions import TEMPERATURE_EN, band
 from ...operators import parse_json, to_json_value
+from ...operators.once import computed_once
 from ...schemas import HOURLY_STATION
 from ...streaming import document_shape
 from ..city import city_messages, classify
@@ -22,14 +23,21 @@ def hour_parts(time: str = "ts") -> list[Column]:
 
 def envelope(rows: DataFrame, value: Column) -> DataFrame:
     """Events as topic messages: the fields Spark's topic source delivers."""
-    return rows.select(
-        F.col("user_id").cast("string").cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
-        F.lit("readings").alias("topic"),
-        F.col("user_id").cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+    messages = computed_once(
+        rows,
+        [
+            F.col("user_id").cast("string").cast("binary").alias("key"),
+            F.lit("readings").alias("topic"),
+            F.col("user_id").cast("int").alias("partition"),
+            F.col("event_id").alias("offset"),
+            F.col("ts").alias("timestamp"),
+            F.lit(0).alias("timestampType"),
+        ],
+        "value",
+        value.cast("binary"),
+    )
+    return messages.select(
+        "key", "value", "topic", "partition", "offset", "timestamp", "timestampType"
     )
 
 
