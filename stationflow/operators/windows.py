@@ -48,10 +48,21 @@ _AGGREGATES = {
 }
 
 
+# Aggregates that are found again from the distinct values of partial groups.
+_HELD = ("set", "approx_distinct")
+
+
 def group_metrics(rows: DataFrame, keys: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
-    """``metrics`` per group. On a stream: a running aggregate, whose state holds
-    every key ever seen -- use it on keys that are bounded in number."""
-    return rows.groupBy(*keys).agg(*(m.expression() for m in metrics))
+    """``metrics`` per group.
+
+    On a stream this is a running aggregate, whose state holds every key ever
+    seen: use it on keys that are bounded in number. On a table, values of ``set``
+    metrics are made distinct by a hash aggregation first.
+    """
+    columns = [F.col(key) for key in keys]
+    if not rows.isStreaming and any(m.fn == "set" for m in metrics):
+        return _in_two_steps(rows, columns, columns, metrics)
+    return rows.groupBy(*columns).agg(*(m.expression() for m in metrics))
 
 
 def windowed_agg(
@@ -62,7 +73,7 @@ def windowed_agg(
     keys: Sequence[str] = (),
     metrics: Sequence[Metric] = (),
     watermark: str | None = None,
-    dense: bool = False,
+    panes: bool | None = None,
     start: str = "window_start",
     end: str = "window_end",
 ) -> DataFrame:
@@ -73,26 +84,38 @@ def windowed_agg(
     of a stream must be TIMESTAMP, a table's may be TIMESTAMP_NTZ as well.
 
     A sliding window copies each row into every window it is in before
-    aggregating. With ``dense`` (tables only) rows are first aggregated into the
-    panes windows are made of -- the greatest common divisor of size and slide --
-    and only pane rows are copied. That costs a second, smaller shuffle and pays
-    when a pane and key hold many rows.
+    aggregating. On a table, ``panes`` aggregates rows into the panes windows are
+    made of first -- the greatest common divisor of size and slide -- and copies
+    pane rows only; columns of distinct-value metrics group the panes as well. By
+    default that is done for sliding windows and for ``set`` metrics, but not
+    with ``approx_distinct``, whose column may have about as many values as there
+    are rows: pass True where it has few.
     """
     slide = slide or size
     if rows.isStreaming:
+        panes = False
         if watermark:
             rows = rows.withWatermark(time, watermark)
-    elif dense:
-        return _by_panes(rows, time, size, slide, keys, metrics, start, end)
-    grouped = rows.groupBy(F.window(F.col(time), size, slide), *keys).agg(
-        *(m.expression() for m in metrics)
-    )
-    return _flat(grouped, keys, metrics, start, end)
-
-
-def _flat(
-    grouped: DataFrame, keys: Sequence[str], metrics: Sequence[Metric], start: str, end: str
-) -> DataFrame:
+    elif panes is None:
+        kinds = {m.fn for m in metrics}
+        panes = "approx_distinct" not in kinds and ("set" in kinds or slide != size)
+    key_columns = [F.col(key) for key in keys]
+
+    def window(column: str, *durations: str) -> Column:
+        return F.window(F.col(column), *durations)
+
+    if panes:
+        length = f"{math.gcd(_milliseconds(size), _milliseconds(slide))} milliseconds"
+        grouped = _in_two_steps(
+            rows,
+            [window(time, length).alias("_pane"), *key_columns],
+            [window("_pane.start", size, slide).alias("window"), *key_columns],
+            metrics,
+        )
+    else:
+        grouped = rows.groupBy(window(time, size, slide).alias("window"), *key_columns).agg(
+            *(m.expression() for m in metrics)
+        )
     return grouped.select(
         F.col("window.start").alias(start),
         F.col("window.end").alias(end),
@@ -101,53 +124,42 @@ def _flat(
     )
 
 
-def _by_panes(rows, time, size, slide, keys, metrics, start, end) -> DataFrame:
-    """Two-step aggregation: panes, then windows of panes.
+def _in_two_steps(
+    rows: DataFrame, first: list[Column], second: list[Column], metrics: Sequence[Metric]
+) -> DataFrame:
+    """Aggregate by ``first``, then merge the partial results by ``second``.
 
-    The columns of ``set`` metrics group the panes as well, so their distinct
-    values are found by the hash aggregation of the first step and the arrays are
-    built from rows that are few and already distinct.
+    The columns of distinct-value metrics join the first grouping. Their values
+    arrive at the second step few and distinct, and the first step is a plain
+    hash aggregation: arrays are only built from what is left.
     """
-    if any(m.fn == "approx_distinct" for m in metrics):
-        raise ValueError("approx_distinct sketches do not merge across panes; use dense=False")
-    pane = f"{math.gcd(_milliseconds(size), _milliseconds(slide))} milliseconds"
-    sets = {m.column: f"_set_{i}" for i, m in enumerate(metrics) if m.fn == "set"}
-
-    partial: dict[str, Column] = {}
+    held = {m.column: f"_held_{i}" for i, m in enumerate(metrics) if m.fn in _HELD}
+    partial = {"_rows": F.count(F.lit(1))}
     for m in metrics:
-        for name, value in _partials(m):
-            partial[name] = value.alias(name)
-    panes = rows.groupBy(
-        F.window(F.col(time), pane).alias("_pane"),
-        *keys,
-        *(F.col(column).alias(name) for column, name in sets.items()),
-    ).agg(*partial.values())
-
-    merged = panes.groupBy(
-        F.window(F.col("_pane.start"), size, slide).alias("window"), *keys
-    ).agg(*(m._named(_merge(m, sets)) for m in metrics))
-    return _flat(merged, keys, metrics, start, end)
+        partial.update(_partials(m))
+    parts = rows.groupBy(
+        *first, *(F.col(column).alias(name) for column, name in held.items())
+    ).agg(*(value.alias(name) for name, value in partial.items()))
+    return parts.groupBy(*second).agg(*(m._named(_merged(m, held)) for m in metrics))
 
 
-def _partials(m: Metric) -> list[tuple[str, Column]]:
+def _partials(m: Metric) -> dict[str, Column]:
     c = m.column
-    if m.fn == "count":
-        return [(f"_count_{c or ''}", _AGGREGATES["count"](c))]
+    if m.fn in _HELD or (m.fn == "count" and c is None):
+        return {}
     if m.fn == "avg":
-        return [(f"_sum_{c}", F.sum(c)), (f"_count_{c}", F.count(c))]
-    if m.fn in ("sum", "min", "max"):
-        return [(f"_{m.fn}_{c}", _AGGREGATES[m.fn](c))]
-    return []
+        return {f"_sum_{c}": F.sum(c), f"_count_{c}": F.count(c)}
+    return {f"_{m.fn}_{c}": _AGGREGATES[m.fn](c)}
 
 
-def _merge(m: Metric, sets: dict[str, str]) -> Column:
+def _merged(m: Metric, held: dict[str, str]) -> Column:
     c = m.column
+    if m.fn in _HELD:
+        return _AGGREGATES[m.fn](held[c])
     if m.fn == "count":
-        return F.sum(f"_count_{c or ''}")
+        return F.sum("_rows" if c is None else f"_count_{c}")
     if m.fn == "avg":
         return F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_count_{c}"))
-    if m.fn == "set":
-        return F.sort_array(F.collect_set(sets[c]))
     return _AGGREGATES[m.fn](f"_{m.fn}_{c}")
 
 

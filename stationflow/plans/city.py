@@ -84,7 +84,9 @@ def overall_windows(
     readings: DataFrame, time: str = "processing_time", watermark: str = "2 minutes"
 ) -> DataFrame:
     """One-minute windows every 30 seconds, over all cities."""
-    return windowed_agg(readings, time, "1 minute", "30 seconds", (), OVERALL_METRICS, watermark)
+    return windowed_agg(
+        readings, time, "1 minute", "30 seconds", (), OVERALL_METRICS, watermark, panes=True
+    )
 
 
 def city_line_windows(
@@ -100,7 +102,7 @@ def city_broker_windows(
     """Five-minute windows every minute on the broker's time, per city."""
     return windowed_agg(
         readings, time, "5 minutes", "1 minute", ["city"], BROKER_METRICS, watermark,
-        start="start", end="end",
+        panes=True, start="start", end="end",
     )
 
 

@@ -26,10 +26,10 @@ def win_sliding_key(spark, folder):
     return comparable(city_windows(readings(spark, folder), time="ts"))
 
 
-def win_sliding_key_dense(spark, folder):
-    """The same windows by panes."""
+def win_sliding_key_direct(spark, folder):
+    """The same windows without panes."""
     rows = windowed_agg(
-        readings(spark, folder), "ts", "1 minute", "30 seconds", ["city"], WINDOW_METRICS, dense=True
+        readings(spark, folder), "ts", "1 minute", "30 seconds", ["city"], WINDOW_METRICS, panes=False
     )
     return comparable(rows)
 
@@ -38,7 +38,7 @@ def win_sliding_5_1(spark, folder):
     return comparable(city_broker_windows(readings(spark, folder), time="ts"))
 
 
-HOURLY_DENSE = (
+DAY_METRICS = (
     Metric("count", None, "readings"),
     Metric("sum", "temperature", "total"),
     Metric("avg", "temperature", "mean", 2),
@@ -48,11 +48,9 @@ HOURLY_DENSE = (
 )
 
 
-def win_day_by_hour_dense(spark, folder):
-    """A day's window every hour: 24 windows per row, by panes."""
-    rows = windowed_agg(
-        readings(spark, folder), "ts", "1 day", "1 hour", ["city"], HOURLY_DENSE, dense=True
-    )
+def win_day_by_hour(spark, folder):
+    """A day's window every hour: each row is in 24 windows."""
+    rows = windowed_agg(readings(spark, folder), "ts", "1 day", "1 hour", ["city"], DAY_METRICS)
     return comparable(rows)
 
 
@@ -73,9 +71,9 @@ QUERIES = {
     "win_sliding_overall": win_sliding_overall,
     "win_sliding_line": win_sliding_line,
     "win_sliding_key": win_sliding_key,
-    "win_sliding_key_dense": win_sliding_key_dense,
+    "win_sliding_key_direct": win_sliding_key_direct,
     "win_sliding_5_1": win_sliding_5_1,
-    "win_day_by_hour_dense": win_day_by_hour_dense,
+    "win_day_by_hour": win_day_by_hour,
     "win_distinct_approx": win_distinct_approx,
     # The estimate has no SQL equal: rows only here, error bound in the tests.
     "win_users_approx": win_users_approx,
@@ -139,9 +137,9 @@ ORACLE = {
     ),
     "win_sliding_line": windows_sql(15, 10, STATION_SQL, key=False),
     "win_sliding_key": windows_sql(60, 30, CITY_SQL),
-    "win_sliding_key_dense": windows_sql(60, 30, CITY_SQL),
+    "win_sliding_key_direct": windows_sql(60, 30, CITY_SQL),
     "win_sliding_5_1": windows_sql(300, 60, BROKER_SQL, start='"start"', end='"end"'),
-    "win_day_by_hour_dense": windows_sql(
+    "win_day_by_hour": windows_sql(
         86400, 3600,
         f"""{_N} AS readings, {_C} / 100.0::DOUBLE AS total,
             {cents_mean_sql(_C, _N, 2)} AS mean, {_LOW} AS lowest, {_HIGH} AS highest,

@@ -369,3 +369,4 @@ def test_group_metrics(spark):
     frame = spark.createDataFrame([("A", 1, "x"), ("A", 2, "w"), ("A", 2, None)], "c string, v int, t string")
     metrics = [Metric("set", "t", "ts"), Metric("count", "t", "n"), Metric("max", "v", "hi")]
     assert rows_of(group_metrics(frame, ["c"], metrics)) == [("A", ["w", "x"], 2, 2)]
+    assert rows_of(group_metrics(frame, [], metrics[:1])) == [(["w", "x"],)]

@@ -45,10 +45,10 @@ def windows_of(frame):
         (4.999999, {(-10, 5), (0, 15)}),
     ],
 )
-@pytest.mark.parametrize("dense", [False, True])
-def test_sliding_windows_of_one_row(spark, second, windows, dense):
+@pytest.mark.parametrize("panes", [False, True])
+def test_sliding_windows_of_one_row(spark, second, windows, panes):
     frame = spark.createDataFrame([(at(second), "A", 1, "x")], SCHEMA)
-    got = windowed_agg(frame, "ts", "15 seconds", "10 seconds", metrics=METRICS[:1], dense=dense)
+    got = windowed_agg(frame, "ts", "15 seconds", "10 seconds", metrics=METRICS[:1], panes=panes)
     assert windows_of(got) == windows
 
 
@@ -85,12 +85,12 @@ def sample(n=400, seed=3):
 
 
 @pytest.mark.parametrize("size, slide", [(30, 30), (15, 10), (60, 30), (300, 60)])
-@pytest.mark.parametrize("dense", [False, True])
-def test_windows_against_brute_force(spark, size, slide, dense):
+@pytest.mark.parametrize("panes", [False, True])
+def test_windows_against_brute_force(spark, size, slide, panes):
     rows = sample()
     frame = spark.createDataFrame(rows, SCHEMA)
     got = windowed_agg(
-        frame, "ts", f"{size} seconds", f"{slide} seconds", ["city"], METRICS, dense=dense
+        frame, "ts", f"{size} seconds", f"{slide} seconds", ["city"], METRICS, panes=panes
     )
     result = {
         (seconds(r.window_start), r.city):
@@ -124,21 +124,38 @@ def test_names_and_rounding(spark):
     assert tuple(got.first())[2:] == (1.7, 2)
 
 
-def test_dense_refuses_what_does_not_merge(spark):
-    frame = spark.createDataFrame([], SCHEMA)
-    with pytest.raises(ValueError):
-        windowed_agg(frame, "ts", "1 hour", metrics=[Metric("approx_distinct", "v", "d")], dense=True)
-    with pytest.raises(ValueError):
-        windowed_agg(frame, "ts", "hourly", metrics=METRICS, dense=True)
+def plan_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_dense_aggregates_before_rows_are_copied(spark):
+def test_panes_are_aggregated_before_rows_are_copied(spark):
     frame = spark.createDataFrame(sample(50), SCHEMA)
-    plan = (
-        windowed_agg(frame, "ts", "5 minutes", "1 minute", ["city"], METRICS, dense=True)
-        ._jdf.queryExecution().optimizedPlan().toString()
+
+    def plan(metrics, *durations, **how):
+        return plan_of(windowed_agg(frame, "ts", *durations, keys=["city"], metrics=metrics, **how))
+
+    sliding = plan(METRICS, "5 minutes", "1 minute")
+    assert sliding.index("Expand") < sliding.rindex("Aggregate")
+    direct = plan(METRICS, "5 minutes", "1 minute", panes=False)
+    assert direct.index("Expand") > direct.rindex("Aggregate")
+    # Nothing to gain: one aggregation.
+    assert plan(METRICS[:6], "1 minute").count("Aggregate") == 1
+    assert plan([Metric("approx_distinct", "v", "d")], "5 minutes", "1 minute").count("Aggregate") == 1
+
+
+def test_estimates_are_the_same_by_panes(spark):
+    frame = spark.createDataFrame(sample(2000), SCHEMA)
+    metrics = [Metric("approx_distinct", "v", "d"), Metric("set", "tag", "t"), Metric("count", None, "n")]
+    direct, by_panes = (
+        windowed_agg(frame, "ts", "1 minute", "10 seconds", ["city"], metrics, panes=panes)
+        for panes in (False, True)
     )
-    assert plan.index("Expand") < plan.rindex("Aggregate")
+    assert sorted(map(str, direct.collect())) == sorted(map(str, by_panes.collect()))
+
+
+def test_panes_need_whole_durations(spark):
+    with pytest.raises(ValueError):
+        windowed_agg(spark.createDataFrame([], SCHEMA), "ts", "hourly", metrics=METRICS, panes=True)
 
 
 def test_estimate_of_many_distinct_values(spark):
