@@ -114,3 +114,8 @@ def classify(readings: DataFrame, temperature: str = "temperature") -> DataFrame
             "processed_at": iso_text(F.current_timestamp()),
         }
     )
+
+
+def classified_document(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Shape of ``document_writer`` for classified readings."""
+    return classify(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))

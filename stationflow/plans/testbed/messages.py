@@ -58,7 +58,7 @@ def station_messages_of(events: DataFrame) -> DataFrame:
     return envelope(events, F.to_json(fields))
 
 
-def _city_messages_of(events: DataFrame) -> DataFrame:
+def city_messages_of(events: DataFrame) -> DataFrame:
     """Events as city messages; some are no JSON, some have no payload at all."""
     k = F.from_json("props", PROPS)["k"]
     fields = F.struct(
@@ -96,18 +96,18 @@ def _nullable_as_double(rows: DataFrame) -> DataFrame:
 
 def city_messages_query(spark, folder):
     """Missing payloads are dropped, unreadable ones leave a row of nulls."""
-    rows = city_messages(_city_messages_of(table(spark, folder, "events")))
+    rows = city_messages(city_messages_of(table(spark, folder, "events")))
     return comparable(_nullable_as_double(rows))
 
 
 def city_messages_required(spark, folder):
     """The same with a required field."""
-    messages = _city_messages_of(table(spark, folder, "events"))
+    messages = city_messages_of(table(spark, folder, "events"))
     return comparable(_nullable_as_double(city_messages(messages, require=("city",))))
 
 
 def classify_messages(spark, folder):
-    messages = _city_messages_of(table(spark, folder, "events"))
+    messages = city_messages_of(table(spark, folder, "events"))
     return comparable(
         classify(city_messages(messages, require=("city",)))
         .where(F.col("processed_at").isNotNull())
@@ -185,6 +185,12 @@ VIEW_SQL = f"""
            event_id AS "offset"
     FROM events"""
 
+CLASSIFIED_SQL = f"""
+    SELECT event_id AS "offset", event_type AS city, {_K} AS temperature,
+           CASE WHEN {_K} < 0 THEN 'freezing' WHEN {_K} < 10 THEN 'cold'
+                WHEN {_K} < 20 THEN 'mild' ELSE 'warm' END AS temp_category
+    FROM events WHERE event_type NOT IN ('signup', 'error')"""
+
 ORACLE = {
     "station_messages": f"""
     SELECT CAST(user_id AS VARCHAR) AS key, event_id AS "offset",
@@ -201,11 +207,7 @@ ORACLE = {
     "city_messages": f"SELECT {_CITY_COLUMNS} FROM events WHERE event_type <> 'signup'",
     "city_messages_required": f"""
     SELECT {_CITY_COLUMNS} FROM events WHERE event_type NOT IN ('signup', 'error')""",
-    "classify_messages": f"""
-    SELECT event_id AS "offset", event_type AS city, {_K} AS temperature,
-           CASE WHEN {_K} < 0 THEN 'freezing' WHEN {_K} < 10 THEN 'cold'
-                WHEN {_K} < 20 THEN 'mild' ELSE 'warm' END AS temp_category
-    FROM events WHERE event_type NOT IN ('signup', 'error')""",
+    "classify_messages": CLASSIFIED_SQL,
     "message_round_trip": f"""
     SELECT CAST(event_id AS VARCHAR) AS key, {_PARTS}, value AS temp, event_type AS temp_source,
            CAST({_K} AS DOUBLE) AS rhum, CAST(1 AS INTEGER) AS stamped

@@ -23,11 +23,19 @@ from ..city import (
     city_broker_windows,
     city_line_windows,
     city_lines,
+    city_messages,
     city_windows,
+    classified_document,
     overall_windows,
 )
 from ..station import station_readings, station_view, station_windows
-from .messages import DOCUMENT_SQL, VIEW_SQL, station_messages_of
+from .messages import (
+    CLASSIFIED_SQL,
+    DOCUMENT_SQL,
+    VIEW_SQL,
+    city_messages_of,
+    station_messages_of,
+)
 from .tables import EVENTS_SQL, as_readings, cents_mean_sql, comparable, money, table
 from .windows import (
     BROKER_SQL,
@@ -187,6 +195,18 @@ def stream_documents(spark, folder):
     )
 
 
+def stream_classified(spark, folder):
+    """City messages, classified and stored as documents per batch."""
+    out = new_work_folder(spark, "classified")
+    replay_slices(
+        city_messages_of(_events(spark, folder)), "timestamp",
+        lambda messages: city_messages(messages, require=("city",)), "append",
+        document_writer(out, "parquet", classified_document), 2, name="classified",
+    )
+    stored = read_batches(spark, out).where("batch = batch_id AND processed_at IS NOT NULL")
+    return comparable(stored.select("offset", "city", "temperature", "temp_category"))
+
+
 QUERIES = {
     "stream_running_key": stream_running_key,
     "stream_win_update": stream_win_update,
@@ -198,6 +218,7 @@ QUERIES = {
     "stream_raw": stream_raw,
     "stream_fan_out": stream_fan_out,
     "stream_documents": stream_documents,
+    "stream_classified": stream_classified,
 }
 
 ORACLE = {
@@ -229,6 +250,7 @@ ORACLE = {
     SELECT city, count(*) AS raw_rows, CAST(sum(c) AS BIGINT) / 100.0::DOUBLE AS total,
            count(*) AS counted_rows
     FROM ({EVENTS_SQL}) GROUP BY city""",
+    "stream_classified": CLASSIFIED_SQL,
     "stream_documents": f"""
     SELECT {DOCUMENT_SQL}, CAST(1 AS INTEGER) AS batch_matches, CAST(1 AS INTEGER) AS stamped
     FROM events""",

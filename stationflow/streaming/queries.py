@@ -50,7 +50,7 @@ def start_query(
 
 
 def run_for(queries: Iterable[StreamingQuery], seconds: float) -> None:
-    """Let ``queries`` run for at most ``seconds``, then stop all of them.
+    """Let ``queries`` run for at most ``seconds`` (or ``inf``), then stop all of them.
 
     They are stopped as well when one fails or the caller is interrupted; a
     query's own error is raised.
@@ -59,7 +59,10 @@ def run_for(queries: Iterable[StreamingQuery], seconds: float) -> None:
     deadline = time.monotonic() + seconds
     try:
         for query in running:
-            query.awaitTermination(max(0.1, deadline - time.monotonic()))
+            if seconds == float("inf"):
+                query.awaitTermination()
+            else:
+                query.awaitTermination(max(0.1, deadline - time.monotonic()))
     finally:
         stop_all(running)
 
