@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from ...functions import words
 from ...operators import explode_records, letter_word_stats, non_blank, to_metric_rows
+from ...sources import spread_small
 from .tables import table
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    """Documents, on all cores even when they are one small file."""
+    return spread_small(table(spark, folder, "documents"))
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import letter_word_stats, to_metric_rows
-from ..sources import text_lines
+from ..sources import spread_small, text_lines
 
 
 def statistics(spark: SparkSession, path: str) -> DataFrame:
     """One row of sums over all lines. Blank lines count nothing anyway."""
-    return letter_word_stats(text_lines(spark, path))
+    return letter_word_stats(spread_small(text_lines(spark, path)))
 
 
 def statistics_rows(spark: SparkSession, path: str) -> DataFrame:

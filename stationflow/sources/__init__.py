@@ -6,11 +6,12 @@ from .files import (
     json_dir_stream,
     nested_json,
     positional_lines,
+    spread_small,
     text_lines,
 )
 from .topics import kafka_options, kafka_stream, socket_lines
 
 __all__ = [
     "delimited", "positional_lines", "text_lines", "nested_json", "json_array",
-    "json_dir_stream", "kafka_options", "kafka_stream", "socket_lines",
+    "json_dir_stream", "spread_small", "kafka_options", "kafka_stream", "socket_lines",
 ]

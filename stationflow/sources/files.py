@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -38,8 +39,6 @@ def nested_json(spark: SparkSession, path: str, schema: T.StructType, whole_file
     fit for many moderate files. Volume belongs in JSON Lines
     (``whole_file=False``), which splits.
     """
-    from pyspark.sql import functions as F
-
     reader = spark.read.schema(schema).option("multiLine", whole_file)
     return reader.json(path).withColumn("source_file", F.input_file_name())
 
@@ -61,3 +60,22 @@ def json_dir_stream(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)
+
+
+def spread_small(rows: DataFrame, limit: int = 256 * 1024 * 1024) -> DataFrame:
+    """Deal the rows of a few small files out to all cores.
+
+    A file is read by as many tasks as it has row groups (or splits), often one.
+    For costly expressions over a small input, moving it once is cheaper than
+    leaving the other cores idle. Inputs above ``limit`` bytes, or of at least as
+    many files as there are cores, are returned as they are: they have tasks
+    enough, and moving them would be the bottleneck.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = rows.inputFiles()
+    if not files or len(files) >= cores:
+        return rows
+    listed = spark.read.format("binaryFile").load(files)
+    size = listed.agg(F.sum("length")).first()[0]
+    return rows.repartition(cores) if size <= limit else rows

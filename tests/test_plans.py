@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from stationflow.operators import KeyConflict, enrich
 from stationflow.plans import city, city_table, daily, repair, station, text
 from stationflow.schemas import CATEGORY, CITY_READING_FILE, PRODUCT
-from stationflow.sources import delimited, json_array, text_lines
+from stationflow.sources import delimited, json_array, spread_small, text_lines
 
 
 def write(path, content):
@@ -247,3 +247,19 @@ def test_declared_fields_may_be_missing(spark, tmp_path):
     path = write(tmp_path / "r.json", '{"city": "A", "more": 1}\n')
     row = spark.read.schema(CITY_READING_FILE).json(path).first()
     assert row.city == "A" and row.file_id is None
+
+
+def test_only_small_inputs_are_spread(spark, tmp_path):
+    path = str(tmp_path / "one")
+    spark.range(100).coalesce(1).write.parquet(path)
+    one = spark.read.parquet(path)
+    spread = spread_small(one)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(spread.collect()) == sorted(one.collect())
+    assert spread_small(one, limit=10) is one
+    many = str(tmp_path / "many")
+    spark.range(100).repartition(5).write.parquet(many)
+    files = spark.read.parquet(many)
+    assert spread_small(files) is files
+    made = spark.range(3)
+    assert spread_small(made) is made
