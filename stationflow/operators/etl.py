@@ -98,8 +98,8 @@ def load_table(
     """Append the rows whose key the table at ``path`` does not have.
 
     ``on_conflict="error"`` raises ``KeyConflict`` and loads nothing if any key is
-    known already or comes twice. Partition columns must follow from the key.
-    ``incoming`` is expected to have each key once (``dedupe_keep_first``).
+    known already or comes twice. Partition columns must follow from the key and
+    be set. ``incoming`` is expected to have each key once (``dedupe_keep_first``).
 
     The increment is written to the shared folder first: it is computed once, its
     size is known when the joins are planned, and a lost executor costs a re-read.
@@ -115,12 +115,12 @@ def load_table(
     # An empty table if there is none yet; left alone otherwise.
     staged.limit(0).write.mode("ignore").partitionBy(*partition_by).parquet(path)
     existing = spark.read.schema(staged.schema).parquet(path)
+    known = seen_keys(_bounded(staged, partition_by), existing, key, partition_by)
     if on_conflict == "error":
         twice = staged.groupBy(key).count().where("count > 1")
-        known = seen_keys(staged, existing, key, partition_by)
         if not twice.isEmpty() or not known.isEmpty():
             raise KeyConflict(f"{key} of the increment already present; nothing loaded")
-    fresh = unseen_rows(staged, existing, key, partition_by)
+    fresh = staged.join(known, key, "left_anti")
 
     loaded = Observation()
     # Rows of one partition together, but AQE may split a crowded one.
@@ -128,3 +128,20 @@ def load_table(
     counted = rebalanced.observe(loaded, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("append").partitionBy(*partition_by).parquet(path)
     return LoadResult(offered.get["rows"], loaded.get["rows"])
+
+
+def _bounded(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``rows`` with the range of each column as a filter.
+
+    It holds for every row, but lets Spark prune the partitions of what the rows
+    are joined with: by the range at once, by the exact values at run time.
+    """
+    if not columns:
+        return rows
+    bounds = rows.agg(
+        *(F.min(c).alias(f"low_{c}") for c in columns), *(F.max(c).alias(f"high_{c}") for c in columns)
+    ).first()
+    for c in columns:
+        if bounds[f"low_{c}"] is not None:
+            rows = rows.where(F.col(c).between(bounds[f"low_{c}"], bounds[f"high_{c}"]))
+    return rows

@@ -370,3 +370,51 @@ def test_group_metrics(spark):
     metrics = [Metric("set", "t", "ts"), Metric("count", "t", "n"), Metric("max", "v", "hi")]
     assert rows_of(group_metrics(frame, ["c"], metrics)) == [("A", ["w", "x"], 2, 2)]
     assert rows_of(group_metrics(frame, [], metrics[:1])) == [(["w", "x"],)]
+
+
+def final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_load_probes_only_the_partitions_it_touches(spark, tmp_path):
+    from stationflow.operators.etl import _bounded, seen_keys
+
+    table, increment = str(tmp_path / "table"), str(tmp_path / "increment")
+    rows = spark.range(1200).select(
+        (F.col("id") % 3 + 2020).alias("year"), (F.col("id") % 12 + 1).alias("month"),
+        F.col("id").alias("record_id"),
+    )
+    rows.repartition("year").write.partitionBy("year", "month").parquet(table)
+    rows.where("year = 2021 AND month IN (2, 5)").limit(20).write.parquet(increment)
+    staged = spark.read.parquet(increment)
+    existing = spark.read.schema(staged.schema).parquet(table)
+    known = seen_keys(_bounded(staged, ("year", "month")), existing, "record_id", ("year", "month"))
+    plan = final_plan(known)
+    assert known.count() == 20
+    assert "dynamicpruning" in plan and "year#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    # The table is scanned where it is; only the increment moves.
+    assert "hashpartitioning" not in plan
+
+
+def test_a_crowded_key_is_split_in_a_join_by_shuffle(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("k"), F.rand(1).alias("x")
+        )
+        lookup = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
+        joined = enrich(rows, lookup, "k")
+        assert "skew=true" in final_plan(joined)
+        assert joined.count() == 200_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
