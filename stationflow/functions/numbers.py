@@ -76,9 +76,12 @@ def typed_value(value: Column, kind: T.DataType | str) -> Column:
     may be written with a zero fraction (``5.0``).
     """
     name = kind if isinstance(kind, str) else kind.simpleString()
-    if name == "string":
-        bare = strip(value.cast("string"))
-        return F.when(~F.lower(bare).isin("", "nan"), bare)
     if name in ("double", "float"):
         return to_number(value).cast(name)
-    return _matched(value, _INTEGER, name)
+    if name in ("tinyint", "smallint", "int", "bigint"):
+        return _matched(value, _INTEGER, name)
+    if name.startswith("decimal"):
+        return _matched(value, _FLOAT, name)
+    bare = strip(value.cast("string"))
+    known = F.when(~F.lower(bare).isin("", "nan"), bare)
+    return known if name == "string" else known.try_cast(name)

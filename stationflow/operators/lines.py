@@ -44,17 +44,17 @@ def positional_fields(
         if position == 0:
             text = F.ltrim(text, F.lit(WHITESPACE))
         if position >= min_fields - 1:
-            text = F.when(F.size("_fields") == position + 1, F.rtrim(text, F.lit(WHITESPACE))).otherwise(text)
+            ended = F.rtrim(text, F.lit(WHITESPACE))
+            text = F.when(F.size("_fields") == position + 1, ended).otherwise(text)
         return text
 
-    accepted = split.where(
-        (F.size("_fields") >= max(min_fields, 2)) & ~field(0).startswith(header)
-    )
+    accepted = split.where((F.size("_fields") >= min_fields) & ~field(0).startswith(header))
+    if min_fields < 2:
+        accepted = accepted.where((F.size("_fields") > 1) | (field(0) != ""))
     texts = [name for name in positions if name not in metrics]
     numbers = F.struct(*(to_number(field(positions[name])).alias(name) for name in metrics))
-    parsed = computed_once(
-        accepted, [*keep, *(field(positions[name]).alias(name) for name in texts)], "_metrics", numbers
-    )
+    carried = [*keep, *(field(positions[name]).alias(name) for name in texts)]
+    parsed = computed_once(accepted, carried, "_metrics", numbers)
     return parsed.select(
         *keep, *texts, *(F.col("_metrics")[name].alias(name) for name in metrics)
     ).na.drop(subset=list(metrics))

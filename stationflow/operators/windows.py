@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _UNIT_SECONDS = {
     "millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800,
@@ -134,33 +135,48 @@ def _in_two_steps(
     hash aggregation: arrays are only built from what is left.
     """
     held = {m.column: f"_held_{i}" for i, m in enumerate(metrics) if m.fn in _HELD}
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
     partial = {"_rows": F.count(F.lit(1))}
     for m in metrics:
-        partial.update(_partials(m))
+        partial.update(_partials(m, kinds))
     parts = rows.groupBy(
         *first, *(F.col(column).alias(name) for column, name in held.items())
     ).agg(*(value.alias(name) for name, value in partial.items()))
-    return parts.groupBy(*second).agg(*(m._named(_merged(m, held)) for m in metrics))
+    return parts.groupBy(*second).agg(*(m._named(_merged(m, held, kinds)) for m in metrics))
 
 
-def _partials(m: Metric) -> dict[str, Column]:
+def _partials(m: Metric, kinds: dict[str, T.DataType]) -> dict[str, Column]:
     c = m.column
     if m.fn in _HELD or (m.fn == "count" and c is None):
         return {}
     if m.fn == "avg":
-        return {f"_sum_{c}": F.sum(c), f"_count_{c}": F.count(c)}
+        # Integers are averaged as DOUBLE, as ``avg`` does it: their sum may not fit.
+        exact = isinstance(kinds.get(c), T.DecimalType)
+        addend = F.col(c) if exact else F.col(c).cast("double")
+        return {f"_part_{c}": F.sum(addend), f"_count_{c}": F.count(c)}
     return {f"_{m.fn}_{c}": _AGGREGATES[m.fn](c)}
 
 
-def _merged(m: Metric, held: dict[str, str]) -> Column:
-    c = m.column
+def _merged(m: Metric, held: dict[str, str], kinds: dict[str, T.DataType]) -> Column:
+    c, kind = m.column, kinds.get(m.column)
     if m.fn in _HELD:
         return _AGGREGATES[m.fn](held[c])
     if m.fn == "count":
         return F.sum("_rows" if c is None else f"_count_{c}")
     if m.fn == "avg":
-        return F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_count_{c}"))
-    return _AGGREGATES[m.fn](f"_{m.fn}_{c}")
+        mean = F.try_divide(F.sum(f"_part_{c}"), F.sum(f"_count_{c}"))
+        return _like(mean, kind, 4, 4)
+    value = _AGGREGATES[m.fn](f"_{m.fn}_{c}")
+    return _like(value, kind, 10, 0) if m.fn == "sum" else value
+
+
+def _like(value: Column, kind: T.DataType | None, digits: int, scale: int) -> Column:
+    """DECIMAL results in the type a single aggregation would have given them."""
+    if not isinstance(kind, T.DecimalType):
+        return value
+    return value.cast(
+        T.DecimalType(min(kind.precision + digits, 38), min(kind.scale + scale, 38))
+    )
 
 
 def _milliseconds(duration: str) -> int:

@@ -52,9 +52,9 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _folded(spark, folder, pipeline, keys, name, slices=3) -> DataFrame:
+def _folded(spark, folder, plan, keys, name, slices=3) -> DataFrame:
     """Update mode, folded to the latest row per window."""
-    updates = collect_updates(_events(spark, folder), "ts", pipeline, "update", slices, name)
+    updates = collect_updates(_events(spark, folder), "ts", plan, "update", slices, name)
     return comparable(latest_per_key(updates, keys))
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions import words
+from ...functions.text import CONSONANTS, VOWELS
 from ...operators import explode_records, letter_word_stats, non_blank, to_metric_rows
 from ...sources import spread_small
 from .tables import table
@@ -53,10 +54,6 @@ QUERIES = {
     "word_list": word_list,
 }
 
-_VOWELS = "aeiouyаеёиоуыэюяAEIOUYАЕЁИОУЫЭЮЯ"
-_CONSONANTS = (
-    "bcdfghjklmnpqrstvwxzбвгджзйклмнпрстфхцчшщBCDFGHJKLMNPQRSTVWXZБВГДЖЗЙКЛМНПРСТФХЦЧШЩ"
-)
 # No look-around in this dialect: take whole runs of word characters, keep the pure ones.
 _WORDS = (
     r"list_filter(regexp_extract_all({0}, '[\p{{L}}\p{{N}}_]+'), "
@@ -70,8 +67,8 @@ def _stats_sql(source: str, text: str, key: str = "", extra: str = "") -> str:
     return f"""
     WITH src AS ({source}),
     per AS (
-      SELECT {by} {text} AS t, length({text}) - length(translate({text}, '{_VOWELS}', '')) AS v,
-             length({text}) - length(translate({text}, '{_CONSONANTS}', '')) AS c,
+      SELECT {by} {text} AS t, length({text}) - length(translate({text}, '{VOWELS}', '')) AS v,
+             length({text}) - length(translate({text}, '{CONSONANTS}', '')) AS c,
              {_WORDS.format(text)} AS w FROM src),
     s AS (
       SELECT {by} CAST(sum(v) AS BIGINT) AS vowel, CAST(sum(c) AS BIGINT) AS consonant,

@@ -37,8 +37,9 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests on one machine) a temporary folder is made,
-    and remembered in the session so that every caller sees the same one.
+    Only where that is unset and Spark runs on one machine (tests), a temporary
+    folder is made, and remembered in the session so that every caller sees the
+    same one. A cluster has to name a folder all its machines share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -46,6 +47,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.conf.get("stationflow.work.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="stationflow-")
         spark.conf.set("stationflow.work.dir", folder)
     return folder.rstrip("/")

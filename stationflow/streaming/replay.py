@@ -21,14 +21,14 @@ from .sinks import BatchFunction, batch_folder_writer, read_batches
 def replay_slices(
     rows: DataFrame,
     time: str,
-    pipeline: Callable[[DataFrame], DataFrame],
+    plan: Callable[[DataFrame], DataFrame],
     mode: str,
     sink: str | BatchFunction,
     slices: int = 3,
     options: dict[str, str] | None = None,
     name: str = "replay",
 ) -> None:
-    """Feed ``rows`` to ``pipeline`` in ``slices`` parts, ordered by ``time``."""
+    """Feed ``rows`` to ``plan`` in ``slices`` parts, ordered by ``time``."""
     spark = rows.sparkSession
     folder = new_work_folder(spark, name)
     micros = F.unix_micros(F.col(time).cast("timestamp"))
@@ -47,7 +47,7 @@ def replay_slices(
         rows.where(in_slice).write.mode("append").parquet(f"{folder}/source")
         stream = spark.readStream.schema(schema).parquet(f"{folder}/source")
         query = start_query(
-            pipeline(stream),
+            plan(stream),
             name=f"{name}-{folder[-8:]}",
             mode=mode,
             sink=sink,
@@ -61,7 +61,7 @@ def replay_slices(
 def collect_updates(
     rows: DataFrame,
     time: str,
-    pipeline: Callable[[DataFrame], DataFrame],
+    plan: Callable[[DataFrame], DataFrame],
     mode: str,
     slices: int = 3,
     name: str = "replay",
@@ -69,7 +69,7 @@ def collect_updates(
     """Replay and return all output, with its micro-batch in ``batch``."""
     spark: SparkSession = rows.sparkSession
     out = new_work_folder(spark, f"{name}-out")
-    replay_slices(rows, time, pipeline, mode, batch_folder_writer(out), slices, name=name)
+    replay_slices(rows, time, plan, mode, batch_folder_writer(out), slices, name=name)
     return read_batches(spark, out)
 
 

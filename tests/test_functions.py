@@ -90,6 +90,18 @@ def test_repair_of_numbers(column):
     assert column(values, repair_spreadsheet_number, "double") == values
 
 
+def test_typed_values_of_other_kinds(column):
+    import datetime as dt
+    from decimal import Decimal
+
+    assert column([" 5.25 ", "x", ""], lambda c: typed_value(c, "decimal(9,2)")) == [
+        Decimal("5.25"), None, None,
+    ]
+    assert column([" 2024-01-02 ", "nan", "soon"], lambda c: typed_value(c, "date")) == [
+        dt.date(2024, 1, 2), None, None,
+    ]
+
+
 def test_typed_values(column):
     texts = [" 5 ", "5.0", "5.7", "nan", "", "calm", None, "9007199254740993"]
     assert column(texts, lambda c: typed_value(c, "bigint")) == [

@@ -78,6 +78,12 @@ def test_positional_lines_with_other_separators_and_last_field(spark):
     assert rows_of(got) == [(5, "a", "z", 1.0)]
 
 
+def test_lines_of_one_field(spark):
+    frame = spark.createDataFrame([("a",), ("  ",), ("",), ("1;2",)], "value string")
+    got = positional_fields(frame, {"name": 0}, [], min_fields=1)
+    assert rows_of(got, "name") == [("1",), ("a",)]
+
+
 def test_non_blank(spark):
     frame = spark.createDataFrame([(" a ",), ("\t",), ("",), (None,)], "value string")
     assert rows_of(non_blank(frame)) == [("a",)]

@@ -103,15 +103,15 @@ def test_update_mode_equals_the_table(spark):
         F.concat(F.lit("c"), F.col("id") % 2).alias("weather_condition"),
     )
 
-    def pipeline(frame):
+    def plan(frame):
         return city_windows(frame, time="ts")
 
-    updates = collect_updates(rows, "ts", pipeline, "update", slices=3, name="t-update")
+    updates = collect_updates(rows, "ts", plan, "update", slices=3, name="t-update")
     keys = ["window_start", "window_end", "city"]
     # Windows that span two slices are reported twice; the later report stands.
     assert updates.count() > updates.select(*keys).distinct().count()
     folded = latest_per_key(updates, keys)
-    table = pipeline(rows)
+    table = plan(rows)
     assert sorted(map(str, folded.select(*table.columns).collect())) == sorted(map(str, table.collect()))
 
 

@@ -153,6 +153,24 @@ def test_estimates_are_the_same_by_panes(spark):
     assert sorted(map(str, direct.collect())) == sorted(map(str, by_panes.collect()))
 
 
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "int", "bigint", "double", "decimal(38,10)"])
+def test_types_are_the_same_by_panes(spark, kind):
+    frame = spark.createDataFrame(sample(50), SCHEMA).withColumn("v", F.col("v").cast(kind))
+    direct, by_panes = (
+        windowed_agg(frame, "ts", "1 minute", "10 seconds", ["city"], METRICS, panes=panes)
+        for panes in (False, True)
+    )
+    assert [f.dataType for f in direct.schema] == [f.dataType for f in by_panes.schema]
+    assert sorted(map(str, direct.collect())) == sorted(map(str, by_panes.collect()))
+
+
+def test_means_of_large_integers(spark):
+    big = 2**62
+    frame = spark.createDataFrame([(at(i), "A", big, "x") for i in range(4)], SCHEMA.replace("v int", "v long"))
+    got = windowed_agg(frame, "ts", "1 minute", metrics=[Metric("avg", "v", "m")], panes=True)
+    assert got.first().m == float(big)
+
+
 def test_panes_need_whole_durations(spark):
     with pytest.raises(ValueError):
         windowed_agg(spark.createDataFrame([], SCHEMA), "ts", "hourly", metrics=METRICS, panes=True)
