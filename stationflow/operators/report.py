@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,20 +46,26 @@ def extremes(
     picks: Mapping[str, tuple[str, str]],
     order: Sequence[str],
 ) -> DataFrame:
-    """Where a value is highest or lowest, in one pass and one row.
+    """Where a value is highest or lowest: one row.
 
     ``picks`` maps a name to ``("max" | "min", column)``; each yields
     ``<name>_<label>`` and ``<name>_value``. The first row in ``order`` wins a
     tie; nulls and NaN never win.
+
+    The extreme values come first, from a plain aggregate over their columns
+    (Spark merges the subqueries into one scan); labels and order are looked at
+    only in the rows that have one of them. ``rows`` is read twice: pass a stored
+    table rather than a long computation.
     """
-    columns = []
+    bests, columns = [], []
     for name, (which, column) in picks.items():
         value = F.when(~F.isnan(column), F.col(column))
         sign, best = (-value, F.max) if which == "max" else (value, F.min)
+        bests.append(F.col(column) == rows.agg(best(value)).scalar())
         rank = F.when(value.isNotNull(), F.struct(sign, *order))
         columns.append(F.min_by(F.col(label), rank).alias(f"{name}_{label}"))
         columns.append(best(value).alias(f"{name}_value"))
-    return rows.agg(*columns)
+    return rows.where(reduce(operator.or_, bests)).agg(*columns)
 
 
 def value_counts(rows: DataFrame, column: str, name: str = "records") -> DataFrame:

@@ -22,6 +22,7 @@ class Metric:
 
     ``fn`` is ``count``, ``sum``, ``avg``, ``min``, ``max``, ``set`` (distinct
     values as a sorted array) or ``approx_distinct``; ``digits`` rounds half up.
+    A ``set`` ends up in one row: it is for columns of few values.
     """
 
     fn: str

@@ -371,6 +371,21 @@ def test_reports(spark):
     assert count_rows(frame).first().row_count == 5
 
 
+def test_extremes_of_ties_and_of_nothing(spark):
+    frame = spark.range(3000).select(
+        F.concat(F.lit("c"), (2999 - F.col("id")).cast("string")).alias("city"), "id",
+        F.when(F.col("id") % 3 == 1, 7).otherwise(0).alias("v"),
+        F.lit(None).cast("double").alias("none"), F.lit(-0.0).alias("zero"),
+    )
+    picks = {"a": ("max", "v"), "b": ("min", "v"), "c": ("max", "none"), "d": ("min", "zero")}
+    # A third of all rows shares the highest value; the first of them is wanted.
+    assert tuple(extremes(frame, "city", picks, ["id"]).first()) == (
+        "c2998", 7, "c2999", 0, None, None, "c2999", 0.0,
+    )
+    only_null = extremes(frame, "city", {"c": ("max", "none")}, ["id"])
+    assert tuple(only_null.first()) == (None, None)
+
+
 def test_group_metrics(spark):
     frame = spark.createDataFrame([("A", 1, "x"), ("A", 2, "w"), ("A", 2, None)], "c string, v int, t string")
     metrics = [Metric("set", "t", "ts"), Metric("count", "t", "n"), Metric("max", "v", "hi")]
