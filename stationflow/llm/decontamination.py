@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_work_folder
 from . import arrays as A
+from .shipping import ship
 
 WINDOW = 10
 # Phrases asked in one pass over the index; more are asked in more passes.
@@ -251,7 +252,7 @@ def find_contamination(
     have no words; a null id is kept; rows that share an id are told apart; with no
     documents or no tests nothing is hit. Other columns are left out.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     folder = new_work_folder(spark, "decontamination")
     phrases(tests, item, text, window).write.parquet(f"{folder}/phrases")
     asked = spark.read.parquet(f"{folder}/phrases")
