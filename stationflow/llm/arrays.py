@@ -101,10 +101,10 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
+def prefix_hash(data: np.ndarray, table: np.ndarray = _TABLE) -> np.ndarray:
     """Sums that ``span_hash`` takes differences of; one more than bytes."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * _power(len(data))[0], out=out[1:], dtype=np.uint64)
+    np.cumsum(table[data] * _power(len(data))[0], out=out[1:], dtype=np.uint64)
     return out
 
 

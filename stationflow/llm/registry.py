@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from .bpe import op9_bpe
 from .decontamination import OP1_SQL, op1_decontamination
 from .near_dedup import op4_near_dedup
 from .quality import op10_quality_rules
 from .repeats import op7_repeats
 
-_QUERIES = (op1_decontamination, op4_near_dedup, op7_repeats, op10_quality_rules)
+_QUERIES = (op1_decontamination, op4_near_dedup, op7_repeats, op9_bpe, op10_quality_rules)
 _SQL = {"op1_decontamination": OP1_SQL}
 
 
