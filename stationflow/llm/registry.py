@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from .bpe import op9_bpe
+from .chat import OP8_SQL, op8_chat
 from .decontamination import OP1_SQL, op1_decontamination
 from .near_dedup import op4_near_dedup
 from .quality import op10_quality_rules
 from .repeats import op7_repeats
+from .url_rules import OP5_SQL, op5_url_rules
 
-_QUERIES = (op1_decontamination, op4_near_dedup, op7_repeats, op9_bpe, op10_quality_rules)
-_SQL = {"op1_decontamination": OP1_SQL}
+_QUERIES = (
+    op1_decontamination,
+    op4_near_dedup,
+    op5_url_rules,
+    op7_repeats,
+    op8_chat,
+    op9_bpe,
+    op10_quality_rules,
+)
+_SQL = {"op1_decontamination": OP1_SQL, "op5_url_rules": OP5_SQL, "op8_chat": OP8_SQL}
 
 
 def queries():
