@@ -6,12 +6,14 @@ from .bpe import op9_bpe
 from .chat import OP8_SQL, op8_chat
 from .decontamination import OP1_SQL, op1_decontamination
 from .near_dedup import op4_near_dedup
+from .pii import OP2_SQL, op2_pii
 from .quality import op10_quality_rules
 from .repeats import op7_repeats
 from .url_rules import OP5_SQL, op5_url_rules
 
 _QUERIES = (
     op1_decontamination,
+    op2_pii,
     op4_near_dedup,
     op5_url_rules,
     op7_repeats,
@@ -19,7 +21,7 @@ _QUERIES = (
     op9_bpe,
     op10_quality_rules,
 )
-_SQL = {"op1_decontamination": OP1_SQL, "op5_url_rules": OP5_SQL, "op8_chat": OP8_SQL}
+_SQL = {"op1_decontamination": OP1_SQL, "op2_pii": OP2_SQL, "op5_url_rules": OP5_SQL, "op8_chat": OP8_SQL}
 
 
 def queries():
