@@ -310,10 +310,14 @@ def decode(rows: DataFrame, doc: str = "doc_id", ids: str = "ids", vocabulary: s
     return rows.select(F.col(doc).cast("long").alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(run, "doc_id long, text string")
 
 
-def token_digests(docs: DataFrame, doc: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256, same``: encode and decode in one pass.
-
-    ``same`` tells whether decoding gave the text back.
+def encoded_documents(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", vocabulary: str | None = None, with_ids: bool = True
+) -> DataFrame:
+    """``doc_id, ids, n_tokens, ids_sha256, decoded_sha256, same``: encode and decode in one pass.
+
+    The digests are of the ids as little-endian 32-bit numbers and of the decoded
+    text in UTF-8; ``same`` tells whether decoding gave the text back. Without
+    ``with_ids`` there is no column of ids.
     """
     shared = _shared(docs.sparkSession, vocabulary)
 
@@ -322,26 +326,27 @@ def token_digests(docs: DataFrame, doc: str = "doc_id", text: str = "text", voca
         for block in A.blocks(batches):
             texts = block.column("text").to_pylist()
             ids, counts = encoder.encode(texts)
-            ends = np.cumsum(counts)
+            ends = np.concatenate(([0], np.cumsum(counts)))
             packed = ids.astype("<u4").tobytes()
-            widths = encoder.widths[ids]
             decoded = encoder.decode(ids)
-            cuts = np.concatenate(([0], np.cumsum(widths)))[np.concatenate(([0], ends))].tolist()
+            cuts = np.concatenate(([0], np.cumsum(encoder.widths[ids])))[ends].tolist()
             first, second, same = [], [], []
-            for text, a, b, c, d in zip(texts, (ends - counts).tolist(), ends.tolist(), cuts[:-1], cuts[1:]):
+            for text, a, b, c, d in zip(texts, ends[:-1].tolist(), ends[1:].tolist(), cuts[:-1], cuts[1:]):
                 back = decoded[c:d].decode("utf-8", "replace")
                 first.append(hashlib.sha256(packed[4 * a : 4 * b]).hexdigest())
                 second.append(hashlib.sha256(back.encode()).hexdigest())
                 same.append(back == (text or ""))
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(counts), pa.array(first), pa.array(second), pa.array(same)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same"],
-            )
+            columns = [block.column("doc_id"), pa.array(counts), pa.array(first), pa.array(second), pa.array(same)]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same", *(["ids"] if with_ids else [])]
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean"
     source = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean")
+    return source.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
 
 
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    found = token_digests(spark.read.parquet(f"{folder}/documents.parquet"))
+    found = encoded_documents(spark.read.parquet(f"{folder}/documents.parquet"), with_ids=False)
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
