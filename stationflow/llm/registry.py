@@ -5,17 +5,21 @@ from __future__ import annotations
 from .bpe import op9_bpe
 from .chat import OP8_SQL, op8_chat
 from .decontamination import OP1_SQL, op1_decontamination
+from .licences import op6_licences
 from .near_dedup import op4_near_dedup
 from .pii import OP2_SQL, op2_pii
 from .quality import op10_quality_rules
 from .repeats import op7_repeats
+from .token_counts import op3_token_counts
 from .url_rules import OP5_SQL, op5_url_rules
 
 _QUERIES = (
     op1_decontamination,
     op2_pii,
+    op3_token_counts,
     op4_near_dedup,
     op5_url_rules,
+    op6_licences,
     op7_repeats,
     op8_chat,
     op9_bpe,
