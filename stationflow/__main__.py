@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .plans import city, city_table, daily, repair, station, text
-from .schemas import CITY_READING_FILE
+from .operators import normalize
+from .schemas import CITY_READING_FILE, HOURLY_STATION
 from .session import build_session
-from .sources import json_dir_stream, kafka_stream, socket_lines, text_lines
-from .streaming import console_options, document_writer, run_for, start_query
+from .sources import delimited, json_dir_stream, kafka_stream, socket_lines, text_lines
+from .streaming import console_options, document_writer, run_for, start_query, to_topic
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -33,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
         source.add_argument("--socket", help="host:port of a line server")
         added.add_argument("--servers", default="localhost:9092")
         added.add_argument("--starting", default="latest", choices=("latest", "earliest"))
+        added.add_argument("--max-offsets", type=int, help="messages per micro-batch, at most")
+        added.add_argument("--min-partitions", type=int, help="tasks a micro-batch is read by, at least")
         added.add_argument("--seconds", type=float, default=float("inf"), help="stop after")
         return added
 
@@ -49,15 +52,25 @@ def _parser() -> argparse.ArgumentParser:
     stream("city-stream", "city readings: windows")
     files = job("city-files", "source", help="city readings from a growing folder of JSON files")
     files.add_argument("--seconds", type=float, default=float("inf"), help="stop after")
+    files.add_argument("--files-per-trigger", type=int, default=1, help="0 for no limit")
+    files.add_argument("--every", default="30 seconds", help="time between micro-batches")
     files.add_argument("--drain", action="store_true", help="process what is there, then stop")
     documents = stream("documents", "station readings into a document folder")
     documents.add_argument("--target", required=True)
+    classified = stream("classified", "city readings, classified, into a document folder")
+    classified.add_argument("--target", required=True)
+    publish = job("publish", "source", help="records of a delimited export, normalised, as topic messages")
+    publish.add_argument("--columns", required=True, help="all column names in order, comma separated")
+    publish.add_argument("--servers", default="localhost:9092")
+    publish.add_argument("--topic", required=True)
+    publish.add_argument("--key", help="column that becomes the message key")
     return parser
 
 
 def _messages(spark: SparkSession, args) -> DataFrame:
     return kafka_stream(
-        spark, args.servers, args.topic, starting=args.starting, fail_on_loss=False
+        spark, args.servers, args.topic, starting=args.starting, fail_on_loss=False,
+        max_offsets_per_trigger=args.max_offsets, min_partitions=args.min_partitions,
     )
 
 
@@ -86,8 +99,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             frame.show(truncate=False)
     elif args.job == "station-stream":
         if args.topic:
-            readings = station.station_readings(_messages(spark, args))
-            view = start_query(station.station_view(readings), "station-view", "append",
+            readings = station.station_readings(_messages(spark, args), station.WINDOW_FIELDS)
+            shown = station.station_readings(_messages(spark, args), station.VIEW_FIELDS)
+            view = start_query(station.station_view(shown), "station-view", "append",
                                options=console_options(5))
             windows = start_query(station.station_windows(readings), "station-windows", "update",
                                   options=console_options(10))
@@ -109,9 +123,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             run_for([start_query(windows, "city-lines", "update", options=console_options())],
                     args.seconds)
     elif args.job == "city-files":
-        readings = json_dir_stream(spark, args.source, CITY_READING_FILE)
+        readings = json_dir_stream(
+            spark, args.source, CITY_READING_FILE, args.files_per_trigger or None
+        )
         timed = readings.withColumn("processing_time", F.current_timestamp())
-        every = {"availableNow": True} if args.drain else {"processingTime": "30 seconds"}
+        every = {"availableNow": True} if args.drain else {"processingTime": args.every}
         queries = [
             start_query(frame, name, mode, trigger=every, options=console_options())
             for name, mode, frame in (
@@ -128,6 +144,18 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             else station.station_document_rows(_lines(spark, args))
         )
         run_for([start_query(rows, "documents", sink=document_writer(args.target))], args.seconds)
+    elif args.job == "classified":
+        rows = (
+            city.city_messages(_messages(spark, args), require=("city",))
+            if args.topic
+            else city.city_lines(_lines(spark, args)).where("city IS NOT NULL")
+        )
+        sink = document_writer(args.target, shape=city.classified_document)
+        run_for([start_query(rows, "classified", sink=sink)], args.seconds)
+    elif args.job == "publish":
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in args.columns.split(",")])
+        records = normalize(delimited(spark, args.source, schema), HOURLY_STATION)
+        to_topic(records, args.servers, args.topic, args.key)
 
 
 if __name__ == "__main__":

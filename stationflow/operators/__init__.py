@@ -11,6 +11,7 @@ from .enrich import enrich
 from .etl import (
     KeyConflict,
     LoadResult,
+    NullValue,
     dedupe_keep_first,
     derive_city_day,
     drop_incomplete,
@@ -27,7 +28,7 @@ from .windows import Metric, group_metrics, windowed_agg
 __all__ = [
     "DailyThresholds", "daily_extremes", "daily_phenomena", "render_daily_text", "tag_phenomena",
     "enrich",
-    "KeyConflict", "LoadResult", "dedupe_keep_first", "derive_city_day", "drop_incomplete",
+    "KeyConflict", "LoadResult", "NullValue", "dedupe_keep_first", "derive_city_day", "drop_incomplete",
     "load_table", "unseen_rows",
     "non_blank", "positional_fields",
     "parse_json", "to_json_value",

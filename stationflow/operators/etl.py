@@ -9,13 +9,17 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import PRECIPITATION_RU, TEMPERATURE_RU, Bands, band
-from ..session import new_work_folder
+from ..session import drop_folder, new_work_folder
 
 
 class KeyConflict(Exception):
     """Keys of an increment are in the table already, or twice in the increment."""
 
 
+class NullValue(Exception):
+    """A column of an increment that must be set is null."""
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """Rows of the increment, and how many of them were new and appended."""
@@ -94,40 +98,54 @@ def load_table(
     key: str = "record_id",
     partition_by: Sequence[str] = ("year", "month"),
     on_conflict: str = "skip",
+    not_null: Sequence[str] = (),
 ) -> LoadResult:
     """Append the rows whose key the table at ``path`` does not have.
 
-    ``on_conflict="error"`` raises ``KeyConflict`` and loads nothing if any key is
-    known already or comes twice. Partition columns must follow from the key and
-    be set. ``incoming`` is expected to have each key once (``dedupe_keep_first``).
+    The key stays unique: an increment that has a key twice raises ``KeyConflict``
+    (``dedupe_keep_first`` goes before), and ``on_conflict="error"`` raises it as
+    well if any key is known already; with ``skip`` those rows are left out. A null
+    key, a null partition column or a null in one of ``not_null`` raises
+    ``NullValue``. Nothing is loaded then. Partition columns must follow from the
+    key.
 
     The increment is written to the shared folder first: it is computed once, its
     size is known when the joins are planned, and a lost executor costs a re-read.
+    It is removed when the load has ended.
     """
     if on_conflict not in ("skip", "error"):
         raise ValueError(f"on_conflict: {on_conflict!r}")
     spark = incoming.sparkSession
-    offered = Observation()
     stage = new_work_folder(spark, "increment")
-    incoming.observe(offered, F.count(F.lit(1)).alias("rows")).write.parquet(stage)
-    staged = spark.read.parquet(stage)
-
-    # An empty table if there is none yet; left alone otherwise.
-    staged.limit(0).write.mode("ignore").partitionBy(*partition_by).parquet(path)
-    existing = spark.read.schema(staged.schema).parquet(path)
-    known = seen_keys(_bounded(staged, partition_by), existing, key, partition_by)
-    if on_conflict == "error":
-        twice = staged.groupBy(key).count().where("count > 1")
-        if not twice.isEmpty() or not known.isEmpty():
+    needed = list(dict.fromkeys([key, *partition_by, *not_null]))
+    offered = Observation()
+    counts = [F.count(F.lit(1)).alias("rows")]
+    counts += [F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(needed)]
+    try:
+        incoming.observe(offered, *counts).write.parquet(stage)
+        missing = [c for i, c in enumerate(needed) if offered.get[f"null_{i}"]]
+        if missing:
+            raise NullValue(f"null in {', '.join(missing)}; nothing loaded")
+        staged = spark.read.schema(incoming.schema).parquet(stage)
+        if not staged.groupBy(key).count().where("count > 1").isEmpty():
+            raise KeyConflict(f"{key} twice in the increment; nothing loaded")
+
+        # An empty table if there is none yet; left alone otherwise.
+        staged.limit(0).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+        existing = spark.read.schema(staged.schema).parquet(path)
+        known = seen_keys(_bounded(staged, partition_by), existing, key, partition_by)
+        if on_conflict == "error" and not known.isEmpty():
             raise KeyConflict(f"{key} of the increment already present; nothing loaded")
-    fresh = staged.join(known, key, "left_anti")
-
-    loaded = Observation()
-    # Rows of one partition together, but AQE may split a crowded one.
-    rebalanced = fresh.hint("rebalance", *partition_by)
-    counted = rebalanced.observe(loaded, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("append").partitionBy(*partition_by).parquet(path)
-    return LoadResult(offered.get["rows"], loaded.get["rows"])
+        fresh = staged.join(known, key, "left_anti")
+
+        loaded = Observation()
+        # Rows of one partition together, but AQE may split a crowded one.
+        rebalanced = fresh.hint("rebalance", *partition_by)
+        counted = rebalanced.observe(loaded, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("append").partitionBy(*partition_by).parquet(path)
+        return LoadResult(offered.get["rows"], loaded.get["rows"])
+    finally:
+        drop_folder(spark, stage)
 
 
 def _bounded(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -6,13 +6,15 @@ import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_UNIT_SECONDS = {
-    "millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800,
+_UNIT_MICROSECONDS = {
+    "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+    "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000,
 }
 
 
@@ -21,17 +23,24 @@ class Metric:
     """One aggregate: ``fn`` of ``column`` under the name ``alias``.
 
     ``fn`` is ``count``, ``sum``, ``avg``, ``min``, ``max``, ``set`` (distinct
-    values as a sorted array) or ``approx_distinct``; ``digits`` rounds half up.
-    A ``set`` ends up in one row: it is for columns of few values.
+    values as a sorted array), ``distinct`` (how many, on tables only) or
+    ``approx_distinct`` with its relative standard ``error``; ``digits`` rounds half
+    up. A ``set`` ends up in one row: it is for columns of few values.
     """
 
     fn: str
     column: str | None
     alias: str
     digits: int | None = None
+    error: float | None = None
 
     def expression(self) -> Column:
-        return self._named(_AGGREGATES[self.fn](self.column))
+        return self._named(self._of(self.column))
+
+    def _of(self, column: str | None) -> Column:
+        if self.fn == "approx_distinct" and self.error is not None:
+            return F.approx_count_distinct(column, self.error)
+        return _AGGREGATES[self.fn](column)
 
     def _named(self, value: Column) -> Column:
         if self.digits is not None:
@@ -46,12 +55,13 @@ _AGGREGATES = {
     "min": F.min,
     "max": F.max,
     "set": lambda c: F.sort_array(F.collect_set(c)),
+    "distinct": F.count_distinct,
     "approx_distinct": F.approx_count_distinct,
 }
 
 
 # Aggregates that are found again from the distinct values of partial groups.
-_HELD = ("set", "approx_distinct")
+_HELD = ("set", "distinct", "approx_distinct")
 
 
 def group_metrics(rows: DataFrame, keys: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
@@ -107,7 +117,7 @@ def windowed_agg(
         return F.window(F.col(column), *durations)
 
     if panes:
-        length = f"{math.gcd(_milliseconds(size), _milliseconds(slide))} milliseconds"
+        length = f"{math.gcd(_microseconds(size), _microseconds(slide))} microseconds"
         grouped = _in_two_steps(
             rows,
             [window(time, length).alias("_pane"), *key_columns],
@@ -161,7 +171,7 @@ def _partials(m: Metric, kinds: dict[str, T.DataType]) -> dict[str, Column]:
 def _merged(m: Metric, held: dict[str, str], kinds: dict[str, T.DataType]) -> Column:
     c, kind = m.column, kinds.get(m.column)
     if m.fn in _HELD:
-        return _AGGREGATES[m.fn](held[c])
+        return m._of(held[c])
     if m.fn == "count":
         return F.sum("_rows" if c is None else f"_count_{c}")
     if m.fn == "avg":
@@ -180,10 +190,18 @@ def _like(value: Column, kind: T.DataType | None, digits: int, scale: int) -> Co
     )
 
 
-def _milliseconds(duration: str) -> int:
-    total = 0.0
-    for amount, unit in re.findall(r"(\d+)\s+([a-z]+?)s?(?=\s|$)", duration.strip().lower()):
-        total += int(amount) * _UNIT_SECONDS[unit] * 1000
-    if total <= 0:
+def _microseconds(duration: str) -> int:
+    """A duration in Spark's own spelling, e.g. ``1 minute 30 seconds`` or ``1.5 seconds``.
+
+    Days and weeks are whole multiples of 24 hours; months have no fixed length.
+    """
+    text = " ".join(duration.lower().split()).removeprefix("interval ")
+    total = Decimal(0)
+    for part in re.split(r"(?<=[a-z]) (?=[-+.\d])", text):
+        found = re.fullmatch(r"(\d+(?:\.\d*)?|\.\d+) ([a-z]+?)s?", part)
+        if not found or found[2] not in _UNIT_MICROSECONDS or ("." in found[1] and found[2] != "second"):
+            raise ValueError(f"not a duration: {duration!r}")
+        total += Decimal(found[1]) * _UNIT_MICROSECONDS[found[2]]
+    if total <= 0 or total != int(total):
         raise ValueError(f"not a duration: {duration!r}")
-    return round(total)
+    return int(total)

@@ -41,10 +41,13 @@ BROKER_METRICS = (
 )
 
 
-def city_messages(messages: DataFrame, require: tuple[str, ...] = ()) -> DataFrame:
+def city_messages(
+    messages: DataFrame, require: tuple[str, ...] = (), fields: tuple[str, ...] | None = None
+) -> DataFrame:
     """Topic messages as readings; messages without payload are dropped.
 
     Text that is no JSON gives a row of nulls; ``require=("city",)`` drops it.
+    Only ``fields`` are parsed, if given.
     """
     return parse_json(
         messages,
@@ -52,7 +55,7 @@ def city_messages(messages: DataFrame, require: tuple[str, ...] = ()) -> DataFra
         keep=["topic", "partition", "offset", F.col("timestamp").alias("kafka_timestamp")],
         fields={
             name: "weather_timestamp" if name == "timestamp" else name
-            for name in CITY_READING.fieldNames()
+            for name in fields or CITY_READING.fieldNames()
         },
         drop_null=True,
         require=require,

@@ -25,6 +25,10 @@ TABLE_COLUMNS = (
     "condition", "precipitation", "temp_category", "precip_category", "year", "month", "day",
     "created_at",
 )
+# Where a document stands: in which file, split, and place there.
+POSITION = ("source_file", "block", "document")
+# What the table wants set.
+NOT_NULL = ("city", "date")
 CITY_METRICS = (
     Metric("count", None, "records_count"),
     Metric("avg", "temperature", "avg_temp"),
@@ -36,12 +40,12 @@ CITY_METRICS = (
 def extract(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """The records of the documents at ``path``, with file and position."""
     documents = nested_json(spark, path, CITY_DAY_DOCUMENT, whole_file)
-    return explode_records(documents, "weather_data", keep=["source_file"])
+    return explode_records(documents, "weather_data", keep=POSITION)
 
 
 def transform(
     records: DataFrame,
-    order: tuple[str, ...] = ("source_file", "ordinal"),
+    order: tuple[str, ...] = (*POSITION, "ordinal"),
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Bands, date parts and key; first row of each key; complete rows only.
@@ -54,7 +58,7 @@ def transform(
 
 def run(spark: SparkSession, source: str, table: str, on_conflict: str = "skip") -> LoadResult:
     """Extract, transform and load; a second run adds nothing (or raises)."""
-    return load_table(transform(extract(spark, source)), table, on_conflict=on_conflict)
+    return load_table(transform(extract(spark, source)), table, on_conflict=on_conflict, not_null=NOT_NULL)
 
 
 def report(table: DataFrame) -> dict[str, DataFrame]:

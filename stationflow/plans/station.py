@@ -23,11 +23,21 @@ STATION_METRICS = (
 STATION_LINE_METRICS = tuple(m for m in STATION_METRICS if m.alias != "max_wind_speed")
 
 
-def station_readings(messages: DataFrame) -> DataFrame:
-    """Topic messages as readings, with broker fields, processing time and label."""
+DATE_FIELDS = ("year", "month", "day", "hour")
+# What the view and the windows use; the others need not be parsed for them.
+VIEW_FIELDS = (*DATE_FIELDS, "temp", "rhum", "pres", "wspd")
+WINDOW_FIELDS = (*DATE_FIELDS, "temp", "rhum", "prcp", "wspd", "pres")
+
+
+def station_readings(messages: DataFrame, fields: tuple[str, ...] | None = None) -> DataFrame:
+    """Topic messages as readings, with broker fields, processing time and label.
+
+    Only ``fields`` are parsed, if given; the label needs ``DATE_FIELDS``.
+    """
     parsed = parse_json(
         messages,
         HOURLY_STATION,
+        fields={name: name for name in fields} if fields else None,
         keep=[
             F.col("key").cast("string").alias("key"),
             "offset",
@@ -38,7 +48,7 @@ def station_readings(messages: DataFrame) -> DataFrame:
     return parsed.withColumns(
         {
             "processing_time": processing_time(),
-            "date_time": date_time_label(*(F.col(c) for c in ("year", "month", "day", "hour"))),
+            "date_time": date_time_label(*(F.col(c) for c in DATE_FIELDS)),
         }
     )
 
@@ -48,9 +58,14 @@ def station_line_readings(lines: DataFrame) -> DataFrame:
     return parse_json(lines, HOURLY_STATION_LINE).withColumn("processing_time", processing_time())
 
 
-def station_document_rows(messages: DataFrame) -> DataFrame:
-    """Topic messages as the rows the document sink takes."""
-    return parse_json(messages, HOURLY_STATION_DOCUMENT)
+DOCUMENT_FIELDS = (*WINDOW_FIELDS, "temp_source", "kafka_timestamp")
+
+
+def station_document_rows(messages: DataFrame, fields: tuple[str, ...] | None = DOCUMENT_FIELDS) -> DataFrame:
+    """Topic messages as the rows the document sink takes; only ``fields`` are parsed, if given."""
+    return parse_json(
+        messages, HOURLY_STATION_DOCUMENT, fields={name: name for name in fields} if fields else None
+    )
 
 
 def station_view(readings: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ table stands for readings: ``event_type`` is the place, ``value`` the main and
 ``props.k`` the second measurement.
 """
 
-from . import daily, etl, messages, records, reports, streams, text, windows
+from . import daily, etl, messages, readers, records, reports, streams, text, windows
 
-_MODULES = (daily, text, windows, streams, messages, records, etl, reports)
+_MODULES = (daily, text, windows, streams, messages, records, readers, etl, reports)
 
 
 def queries():

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ...functions import Bands
 from ...operators import (
+    KeyConflict,
     dedupe_keep_first,
     derive_city_day,
     drop_incomplete,
@@ -61,13 +62,21 @@ def etl_unseen_rows(spark, folder):
 
 
 def etl_load_new(spark, folder):
-    """Both deliveries loaded into a table, the second one twice; the table."""
+    """Both deliveries loaded into a table, the second one twice; the table.
+
+    A delivery that has its keys twice is refused, and adds nothing.
+    """
     path = new_work_folder(spark, "table")
     first, second = _halves(spark, folder)
     load_table(transform(first), path)
     load_table(transform(second), path)
     load_table(transform(second), path)
-    return spark.read.parquet(path).select(*COLUMNS)
+    repeated = transform(first)
+    try:
+        load_table(repeated.unionAll(repeated), path)
+    except KeyConflict:
+        return spark.read.parquet(path).select(*COLUMNS)
+    raise AssertionError("keys that come twice were loaded")
 
 
 def enrich_nation_region(spark, folder):

@@ -9,7 +9,7 @@ from ...operators.once import computed_once
 from ...schemas import HOURLY_STATION
 from ...streaming import document_shape
 from ..city import city_messages, classify
-from ..station import station_document_rows, station_readings, station_view
+from ..station import VIEW_FIELDS, station_document_rows, station_readings, station_view
 from .tables import PROPS, comparable, table
 
 
@@ -41,9 +41,15 @@ def envelope(rows: DataFrame, value: Column) -> DataFrame:
     )
 
 
+def _with_k(events: DataFrame) -> DataFrame:
+    """Events with the number in ``props``, parsed once."""
+    return computed_once(events, [c for c in events.columns if c != "props"], "k", F.from_json("props", PROPS)["k"])
+
+
 def station_messages_of(events: DataFrame) -> DataFrame:
     """Events as station messages."""
-    k = F.from_json("props", PROPS)["k"]
+    events = _with_k(events)
+    k = F.col("k")
     fields = F.struct(
         *hour_parts(),
         F.col("value").alias("temp"),
@@ -60,7 +66,8 @@ def station_messages_of(events: DataFrame) -> DataFrame:
 
 def city_messages_of(events: DataFrame) -> DataFrame:
     """Events as city messages; some are no JSON, some have no payload at all."""
-    k = F.from_json("props", PROPS)["k"]
+    events = _with_k(events)
+    k = F.col("k")
     fields = F.struct(
         F.col("event_type").alias("city"),
         k.alias("temperature"),
@@ -84,7 +91,7 @@ def station_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def station_view_query(spark, folder):
     return comparable(
-        station_view(station_readings(station_messages_of(table(spark, folder, "events"))))
+        station_view(station_readings(station_messages_of(table(spark, folder, "events")), VIEW_FIELDS))
     )
 
 
@@ -109,7 +116,7 @@ def city_messages_required(spark, folder):
 def classify_messages(spark, folder):
     messages = city_messages_of(table(spark, folder, "events"))
     return comparable(
-        classify(city_messages(messages, require=("city",)))
+        classify(city_messages(messages, ("city",), ("city", "temperature")))
         .where(F.col("processed_at").isNotNull())
         .select("offset", "city", "temperature", "temp_category")
     )

@@ -1,4 +1,4 @@
-"""Streams: each replays the whole event table through a streaming query."""
+"""Streams: each takes the whole event table through a streaming query."""
 
 from __future__ import annotations
 
@@ -9,13 +9,10 @@ from ...operators import group_metrics, windowed_agg
 from ...session import new_work_folder
 from ...streaming import (
     batch_folder_writer,
-    collect_updates,
     document_shape,
     document_writer,
     fan_out,
-    latest_per_key,
     read_batches,
-    replay_slices,
 )
 from ..city import (
     LINE_METRICS,
@@ -28,7 +25,7 @@ from ..city import (
     classified_document,
     overall_windows,
 )
-from ..station import station_readings, station_view, station_windows
+from ..station import DOCUMENT_FIELDS, VIEW_FIELDS, WINDOW_FIELDS, station_readings, station_view, station_windows
 from .messages import (
     CLASSIFIED_SQL,
     DOCUMENT_SQL,
@@ -36,6 +33,7 @@ from .messages import (
     city_messages_of,
     station_messages_of,
 )
+from .replay import collect_updates, drain, last_batch, latest_per_key, replay, table_stream
 from .tables import EVENTS_SQL, as_readings, cents_mean_sql, comparable, money, table
 from .windows import (
     BROKER_SQL,
@@ -52,20 +50,23 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _folded(spark, folder, plan, keys, name, slices=3) -> DataFrame:
+def _live(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table's own files as a stream, where order does not matter."""
+    return table_stream(spark, f"{folder}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _folded(spark, folder, plan, keys, name) -> DataFrame:
     """Update mode, folded to the latest row per window."""
-    updates = collect_updates(_events(spark, folder), "ts", plan, "update", slices, name)
+    updates = collect_updates(_events(spark, folder), "ts", plan, "update", name=name)
     return comparable(latest_per_key(updates, keys))
 
 
 def stream_running_key(spark, folder):
     """Complete mode: the last batch is the whole result."""
-
-    def running(events):
-        return group_metrics(as_readings(events), ["city"], RUNNING_METRICS)
-
-    output = collect_updates(_events(spark, folder), "ts", running, "complete", name="running")
-    return comparable(latest_per_key(output, ["city"]))
+    out = new_work_folder(spark, "running-out")
+    running = group_metrics(as_readings(_live(spark, folder)), ["city"], RUNNING_METRICS)
+    drain(running, "complete", batch_folder_writer(out), name="running")
+    return comparable(last_batch(read_batches(spark, out).drop("query")))
 
 
 def stream_win_update(spark, folder):
@@ -80,7 +81,7 @@ def stream_win_overall(spark, folder):
     return _folded(
         spark, folder,
         lambda events: overall_windows(as_readings(events), time="ts"),
-        ["window_start", "window_end"], "win-overall", slices=2,
+        ["window_start", "window_end"], "win-overall",
     )
 
 
@@ -88,7 +89,7 @@ def stream_win_broker(spark, folder):
     return _folded(
         spark, folder,
         lambda events: city_broker_windows(as_readings(events), time="ts"),
-        ["start", "end", "city"], "win-broker", slices=2,
+        ["start", "end", "city"], "win-broker",
     )
 
 
@@ -101,10 +102,7 @@ def stream_win_append(spark, folder):
         )
 
     out = new_work_folder(spark, "win-append-out")
-    replay_slices(
-        _events(spark, folder), "ts", hourly, "append", "parquet",
-        options={"path": out}, name="win-append",
-    )
+    replay(_events(spark, folder), "ts", hourly, "append", "parquet", options={"path": out}, name="win-append")
     return comparable(spark.read.parquet(out))
 
 
@@ -123,7 +121,7 @@ def stream_lines_tumbling(spark, folder):
         ).alias("value"),
     )
     updates = collect_updates(
-        readings, "ts", lambda lines: city_line_windows(city_lines(lines)), "update", 2, "lines"
+        readings, "ts", lambda lines: city_line_windows(city_lines(lines)), "update", name="lines"
     )
     return comparable(latest_per_key(updates, ["window_start", "window_end", "city"]))
 
@@ -132,24 +130,21 @@ def stream_station_windows(spark, folder):
     """Topic envelopes, parsed and windowed by broker time in the stream."""
 
     def windows(messages):
-        rows = station_readings(messages).withColumns(
+        rows = station_readings(messages, WINDOW_FIELDS).withColumns(
             {"temp": money("temp"), "prcp": money("prcp")}
         )
         return station_windows(rows, time="kafka_processing_time")
 
     messages = station_messages_of(_events(spark, folder))
-    updates = collect_updates(messages, "timestamp", windows, "update", 2, "station")
+    updates = collect_updates(messages, "timestamp", windows, "update", name="station")
     return comparable(latest_per_key(updates, ["window_start", "window_end"]))
 
 
 def stream_raw(spark, folder):
     """Append mode, no state: the view of parsed messages."""
-    messages = station_messages_of(_events(spark, folder))
     out = new_work_folder(spark, "raw-out")
-    replay_slices(
-        messages, "timestamp", lambda m: station_view(station_readings(m)),
-        "append", "parquet", 2, {"path": out}, "raw",
-    )
+    view = station_view(station_readings(station_messages_of(_live(spark, folder)), VIEW_FIELDS))
+    drain(view, "append", "parquet", {"path": out}, "raw")
     return comparable(spark.read.parquet(out))
 
 
@@ -161,9 +156,7 @@ def stream_fan_out(spark, folder):
     def per_city(batch, batch_id):
         counts(batch.groupBy("city").agg(F.count("*").alias("n")), batch_id)
 
-    replay_slices(
-        _events(spark, folder), "ts", as_readings, "append", fan_out(raw, per_city), 2, name="fan"
-    )
+    drain(as_readings(_live(spark, folder)), "append", fan_out(raw, per_city), name="fan")
     rows = read_batches(spark, f"{out}/raw").groupBy("city").agg(
         F.count("*").alias("raw_rows"), F.sum("temperature").alias("total")
     )
@@ -176,12 +169,8 @@ def stream_fan_out(spark, folder):
 def stream_documents(spark, folder):
     """Per-batch document sink, read back."""
     out = new_work_folder(spark, "documents")
-    messages = station_messages_of(_events(spark, folder))
-
-    replay_slices(
-        messages, "timestamp", station_readings, "append",
-        document_writer(out, "parquet", document_shape), 2, name="docs",
-    )
+    rows = station_readings(station_messages_of(_live(spark, folder)), DOCUMENT_FIELDS)
+    drain(rows, "append", document_writer(out, "parquet", document_shape), name="docs")
     stored = read_batches(spark, out)
     return comparable(
         stored.select(
@@ -198,11 +187,8 @@ def stream_documents(spark, folder):
 def stream_classified(spark, folder):
     """City messages, classified and stored as documents per batch."""
     out = new_work_folder(spark, "classified")
-    replay_slices(
-        city_messages_of(_events(spark, folder)), "timestamp",
-        lambda messages: city_messages(messages, require=("city",)), "append",
-        document_writer(out, "parquet", classified_document), 2, name="classified",
-    )
+    rows = city_messages(city_messages_of(_live(spark, folder)), ("city",), ("city", "temperature"))
+    drain(rows, "append", document_writer(out, "parquet", classified_document), name="classified")
     stored = read_batches(spark, out).where("batch = batch_id AND processed_at IS NOT NULL")
     return comparable(stored.select("offset", "city", "temperature", "temp_category"))
 

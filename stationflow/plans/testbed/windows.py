@@ -60,10 +60,21 @@ def win_distinct_approx(spark, folder):
 
 
 def win_users_approx(spark, folder):
-    """Distinct users per day, estimated."""
+    """Distinct users per day: the exact number, and whether the estimate is within 5 %."""
     rows = readings(spark, folder).withColumnRenamed("wind_speed", "user_id")
-    metrics = (Metric("count", None, "readings"), Metric("approx_distinct", "user_id", "users"))
-    return comparable(windowed_agg(rows, "ts", "1 day", metrics=metrics))
+    metrics = (
+        Metric("count", None, "readings"), Metric("approx_distinct", "user_id", "guess", error=0.01),
+        Metric("distinct", "user_id", "users"),
+    )
+    days = windowed_agg(rows, "ts", "1 day", metrics=metrics)
+    near = F.abs(F.col("guess") - F.col("users")) * 20 <= F.col("users")
+    return comparable(days.select("window_start", "readings", "users", near.cast("int").alias("within_bound")))
+
+
+def win_sliding_fraction(spark, folder):
+    """Windows of fractional seconds, by panes."""
+    metrics = (Metric("count", None, "readings"), Metric("min", "temperature", "lowest"), Metric("max", "humidity", "highest"))
+    return comparable(windowed_agg(readings(spark, folder), "ts", "1.5 seconds", "0.5 seconds", ["city"], metrics))
 
 
 QUERIES = {
@@ -75,26 +86,27 @@ QUERIES = {
     "win_sliding_5_1": win_sliding_5_1,
     "win_day_by_hour": win_day_by_hour,
     "win_distinct_approx": win_distinct_approx,
-    # The estimate has no SQL equal: rows only here, error bound in the tests.
     "win_users_approx": win_users_approx,
+    "win_sliding_fraction": win_sliding_fraction,
 }
 
 
 def windows_sql(
-    size: int, slide: int, columns: str, key: bool = True, start: str = "window_start",
+    size: float, slide: float, columns: str, key: bool = True, start: str = "window_start",
     end: str = "window_end", having: str = "",
 ) -> str:
     """Windows of ``size`` seconds every ``slide``, aligned to the epoch."""
-    copies = -(-size // slide)
+    copies = int(-(-size // slide))
+    size, slide = round(size * 1_000_000), round(slide * 1_000_000)
     by = "city, " if key else ""
     return f"""
     WITH e AS ({EVENTS_SQL}),
     w AS (
-      SELECT e.*, epoch_us(ts) - epoch_us(ts) % {slide}000000 - i * {slide}000000 AS s
+      SELECT e.*, epoch_us(ts) - epoch_us(ts) % {slide} - i * {slide} AS s
       FROM e, range({copies}) r(i)
-      WHERE epoch_us(ts) - epoch_us(ts) % {slide}000000 - i * {slide}000000
-            + {size}000000 > epoch_us(ts))
-    SELECT make_timestamp(s) AS {start}, make_timestamp(s + {size}000000) AS {end}, {by}
+      WHERE epoch_us(ts) - epoch_us(ts) % {slide} - i * {slide}
+            + {size} > epoch_us(ts))
+    SELECT make_timestamp(s) AS {start}, make_timestamp(s + {size}) AS {end}, {by}
            {columns}
     FROM w GROUP BY s{', city' if key else ''} {having}"""
 
@@ -146,4 +158,11 @@ ORACLE = {
             {_CONDITIONS}""",
     ),
     "win_distinct_approx": windows_sql(60, 30, OVERALL_SQL, key=False),
+    "win_users_approx": """
+    SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, count(*) AS readings,
+           count(DISTINCT user_id) AS users, CAST(1 AS INTEGER) AS within_bound
+    FROM events GROUP BY 1""",
+    "win_sliding_fraction": windows_sql(
+        1.5, 0.5, f"{_N} AS readings, {_LOW} AS lowest, max(k) AS highest"
+    ),
 }

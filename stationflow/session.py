@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,23 +36,23 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset and Spark runs on one machine (tests), a temporary
-    folder is made, and remembered in the session so that every caller sees the
-    same one. A cluster has to name a folder all its machines share.
+    Where that is unset it is one below the warehouse, which is always set and
+    which all machines of a cluster share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
-        folder = spark.conf.get("stationflow.work.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="stationflow-")
-        spark.conf.set("stationflow.work.dir", folder)
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return folder.rstrip("/")
 
 
 def new_work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder (not yet created)."""
     return f"{shared_folder(spark)}/stationflow/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by ``new_work_folder``, on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -38,14 +38,30 @@ def nested_json(spark: SparkSession, path: str, schema: T.StructType, whole_file
     With ``whole_file`` a file is one document over many lines, read by one task:
     fit for many moderate files. Volume belongs in JSON Lines
     (``whole_file=False``), which splits.
+
+    ``source_file``, ``block`` and ``document`` order the documents: the file, where
+    the split begins that the document is read from, and its place among what is
+    read there. Documents of a file stand in that order.
     """
     reader = spark.read.schema(schema).option("multiLine", whole_file)
-    return reader.json(path).withColumn("source_file", F.input_file_name())
+    return reader.json(path).withColumns(
+        {
+            "source_file": F.col("_metadata.file_path"),
+            "block": F.col("_metadata.file_block_start"),
+            "document": F.monotonically_increasing_id(),
+        }
+    )
 
 
-def json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A file that is one JSON array; each element is a row."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def json_array(
+    spark: SparkSession, path: str, schema: T.StructType, whole_file: bool = True
+) -> DataFrame:
+    """JSON arrays; each element is a row.
+
+    A file that is one array over many lines is read by one task. With
+    ``whole_file=False`` every line is an array, and files split.
+    """
+    return spark.read.schema(schema).option("multiLine", whole_file).json(path)
 
 
 def json_dir_stream(
@@ -60,22 +76,3 @@ def json_dir_stream(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)
-
-
-def spread_small(rows: DataFrame, limit: int = 256 * 1024 * 1024) -> DataFrame:
-    """Deal the rows of a few small files out to all cores.
-
-    A file is read by as many tasks as it has row groups (or splits), often one.
-    For costly expressions over a small input, moving it once is cheaper than
-    leaving the other cores idle. Inputs above ``limit`` bytes, or of at least as
-    many files as there are cores, are returned as they are: they have tasks
-    enough, and moving them would be the bottleneck.
-    """
-    spark = rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = rows.inputFiles()
-    if not files or len(files) >= cores:
-        return rows
-    listed = spark.read.format("binaryFile").load(files)
-    size = listed.agg(F.sum("length")).first()[0]
-    return rows.repartition(cores) if size <= limit else rows

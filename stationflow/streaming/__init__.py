@@ -1,14 +1,13 @@
 """Starting, bounding and sinking streaming queries."""
 
 from .queries import (
+    LateRows,
     checkpoint_for,
     console_options,
-    late_rows_dropped,
     run_for,
     start_query,
     stop_all,
 )
-from .replay import collect_updates, latest_per_key, replay_slices
 from .sinks import (
     batch_folder_writer,
     document_shape,
@@ -20,8 +19,7 @@ from .sinks import (
 )
 
 __all__ = [
-    "start_query", "checkpoint_for", "console_options", "run_for", "stop_all", "late_rows_dropped",
+    "start_query", "checkpoint_for", "console_options", "run_for", "stop_all", "LateRows",
     "batch_folder_writer", "document_shape", "document_writer", "fan_out", "read_batches",
     "to_topic", "topic_options",
-    "replay_slices", "collect_updates", "latest_per_key",
 ]

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..session import shared_folder
 
@@ -49,20 +50,25 @@ def start_query(
     return writer.format(sink).start()
 
 
-def run_for(queries: Iterable[StreamingQuery], seconds: float) -> None:
+def run_for(queries: Iterable[StreamingQuery], seconds: float, look: float = 0.2) -> None:
     """Let ``queries`` run for at most ``seconds`` (or ``inf``), then stop all of them.
 
-    They are stopped as well when one fails or the caller is interrupted; a
-    query's own error is raised.
+    They are stopped as well when any of them fails, wherever it stands, when all
+    have ended, or when the caller is interrupted; a query's own error is raised.
     """
     running = list(queries)
     deadline = time.monotonic() + seconds
     try:
+        while any(query.isActive for query in running) and time.monotonic() < deadline:
+            for query in running:
+                if not query.isActive:
+                    query.awaitTermination()  # raises what it failed with
+            waiting = next((query for query in running if query.isActive), None)
+            if waiting is not None:
+                waiting.awaitTermination(max(0.01, min(look, deadline - time.monotonic())))
         for query in running:
-            if seconds == float("inf"):
+            if not query.isActive:
                 query.awaitTermination()
-            else:
-                query.awaitTermination(max(0.1, deadline - time.monotonic()))
     finally:
         stop_all(running)
 
@@ -73,14 +79,40 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
             query.stop()
 
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Late rows the watermark kept out, as far as the query's progress reports.
+class LateRows(StreamingQueryListener):
+    """Counts, over a query's whole life, the late rows its watermark kept out.
 
-    Counted after partial aggregation: rows of one window and key in one task
-    count once, and a row counts once per window it came too late for.
+    ``watch`` it before the queries start. Counted after partial aggregation: rows
+    of one window and key in one task count once, and a row counts once per window
+    it came too late for. Progress comes a moment after its batch.
     """
-    return sum(
-        int(state["numRowsDroppedByWatermark"])
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
+
+    def __init__(self) -> None:
+        self._dropped: Counter[str] = Counter()
+        self._ended: set[str] = set()
+
+    @classmethod
+    def watch(cls, spark: SparkSession) -> LateRows:
+        listener = cls()
+        spark.streams.addListener(listener)
+        return listener
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for state in event.progress.stateOperators:
+            self._dropped[str(event.progress.id)] += state.numRowsDroppedByWatermark
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.add(str(event.id))
+
+    def of(self, query: StreamingQuery, wait: float = 10.0) -> int:
+        """Rows dropped so far; waits up to ``wait`` seconds for the report of one that has ended."""
+        until = time.monotonic() + wait
+        while not query.isActive and query.id not in self._ended and time.monotonic() < until:
+            time.sleep(0.05)
+        return self._dropped[query.id]

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import iso_text
@@ -42,20 +43,34 @@ def document_shape(
 def batch_folder_writer(path: str, fmt: str = "parquet") -> BatchFunction:
     """Write each micro-batch into a folder of its own below ``path``.
 
-    Executors write their partitions; nothing passes through the driver. A batch
-    that is tried again after a failure overwrites its folder, so every batch is
-    there exactly once.
+    The folder is named by the query's lasting id and the batch. A batch that is
+    tried again after a failure overwrites its folder, so every batch is there
+    exactly once; a query with a new checkpoint has a new id and adds to what
+    others have stored. Executors write their partitions; nothing passes through
+    the driver.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(f"{path}/batch={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        batch.write.format(fmt).mode("overwrite").save(f"{path}/query={query}/batch={batch_id}")
 
     return write
 
 
-def read_batches(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """What ``batch_folder_writer`` wrote, with the batch number in ``batch``."""
-    return spark.read.format(fmt).load(path)
+def read_batches(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None
+) -> DataFrame:
+    """What ``batch_folder_writer`` wrote, with its ``query`` and the number in ``batch``.
+
+    Formats that do not carry their schema need ``schema``: nothing is inferred.
+    """
+    if schema is None and fmt not in ("parquet", "orc", "avro"):
+        raise ValueError(f"reading {fmt} needs a schema")
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        given = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        reader = reader.schema(T.StructType([*given.fields]).add("query", T.StringType()).add("batch", T.IntegerType()))
+    return reader.load(path)
 
 
 def document_writer(

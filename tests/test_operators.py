@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from stationflow.operators import (
     DailyThresholds,
     KeyConflict,
     Metric,
+    NullValue,
     count_rows,
     daily_phenomena,
     dedupe_keep_first,
@@ -37,6 +39,7 @@ from stationflow.operators import (
     value_counts,
 )
 from stationflow.schemas import HOURLY_METRICS, HOURLY_POSITIONS, HOURLY_STATION
+from stationflow.session import shared_folder
 
 
 def rows_of(frame, *order):
@@ -322,6 +325,24 @@ def test_load_error_mode_loads_nothing(spark, tmp_path, city_days):
         load_table(rows, path, on_conflict="replace")
 
 
+def test_load_keeps_its_key_unique_and_set(spark, tmp_path, city_days):
+    path = str(tmp_path / "unique")
+    rows = transformed(city_days)
+    for mode in ("skip", "error"):
+        with pytest.raises(KeyConflict):
+            load_table(rows.union(rows), path, on_conflict=mode)
+        for column in ("record_id", "year"):
+            bad = rows.withColumn(column, F.lit(None).cast(rows.schema[column].dataType))
+            with pytest.raises(NullValue, match=column):
+                load_table(bad, path, on_conflict=mode)
+    with pytest.raises(NullValue, match="city"):
+        load_table(rows.withColumn("city", F.lit(None).cast("string")), path, not_null=("city", "date"))
+    assert not os.path.exists(path)
+    assert load_table(rows, path).loaded == 2
+    left = os.listdir(os.path.join(shared_folder(spark), "stationflow"))
+    assert not [name for name in left if name.startswith("increment")]
+
+
 def test_load_without_partitions(spark, tmp_path):
     path = str(tmp_path / "flat")
     rows = spark.range(5).withColumnRenamed("id", "record_id")

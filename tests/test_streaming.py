@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import time
 
 import pytest
@@ -10,19 +11,18 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import Metric, group_metrics, windowed_agg
 from stationflow.plans.city import city_running, city_windows
+from stationflow.plans.testbed.replay import collect_updates, latest_per_key, replay
 from stationflow.schemas import CITY_READING_FILE
 from stationflow.session import new_work_folder, shared_folder
 from stationflow.sources import json_dir_stream, kafka_options, kafka_stream
 from stationflow.streaming import (
     batch_folder_writer,
+    LateRows,
     checkpoint_for,
-    collect_updates,
     console_options,
     document_shape,
     document_writer,
     fan_out,
-    late_rows_dropped,
-    latest_per_key,
     read_batches,
     run_for,
     start_query,
@@ -106,7 +106,7 @@ def test_update_mode_equals_the_table(spark):
     def plan(frame):
         return city_windows(frame, time="ts")
 
-    updates = collect_updates(rows, "ts", plan, "update", slices=3, name="t-update")
+    updates = collect_updates(rows, "ts", plan, "update", batches=3, name="t-update")
     keys = ["window_start", "window_end", "city"]
     # Windows that span two slices are reported twice; the later report stands.
     assert updates.count() > updates.select(*keys).distinct().count()
@@ -132,6 +132,7 @@ def late_source(spark, tmp_path, batches):
 
 def test_late_rows_are_dropped_once_the_watermark_has_passed(spark, tmp_path):
     # Batch 1 still runs with the watermark of batch 0; from batch 2 on old rows are late.
+    late = LateRows.watch(spark)
     stream = late_source(spark, tmp_path, [[0, 600], [5], [6, 7], [605]])
     seen = []
     query = run_now(
@@ -140,7 +141,9 @@ def test_late_rows_are_dropped_once_the_watermark_has_passed(spark, tmp_path):
     )
     latest = {r.window_start: r.n for r in seen}
     assert latest == {DAY: 2, DAY + dt.timedelta(minutes=10): 2}
-    assert late_rows_dropped(query) >= 1
+    # Rows of one window and key in one task count once.
+    assert late.of(query) >= 1
+    spark.streams.removeListener(late)
 
 
 def test_append_mode_emits_closed_windows_once(spark, tmp_path):
@@ -170,7 +173,9 @@ def test_console_with_an_interval_runs_for_a_while(spark, tmp_path, inbox):
     assert sum(p["numInputRows"] for p in raw.recentProgress) == 4
 
 
-def test_run_for_raises_the_error_of_a_query_and_stops_the_others(spark, tmp_path, inbox):
+@pytest.mark.parametrize("first", ["failing", "idle"])
+@pytest.mark.parametrize("seconds", [60, float("inf")])
+def test_run_for_raises_the_error_of_any_query_and_stops_the_others(spark, tmp_path, inbox, first, seconds):
     def broken(batch, batch_id):
         raise RuntimeError("store is down")
 
@@ -180,8 +185,10 @@ def test_run_for_raises_the_error_of_a_query_and_stops_the_others(spark, tmp_pat
         trigger={"processingTime": "1 second"},
     )
     failing = start_query(stream, "failing", sink=broken, checkpoint=str(tmp_path / "f"))
+    began = time.monotonic()
     with pytest.raises(StreamingQueryException, match="store is down"):
-        run_for([failing, idle], 60)
+        run_for([failing, idle] if first == "failing" else [idle, failing], seconds)
+    assert time.monotonic() - began < 40
     assert not idle.isActive
     stop_all([idle, failing])
 
@@ -207,7 +214,34 @@ def test_a_failed_batch_is_tried_again_and_stored_once(spark, tmp_path, inbox):
         start()
     start()
     assert attempts == [0, 0, 1, 2, 3]
-    assert read_batches(spark, out, "json").count() == 4
+    assert read_batches(spark, out, "json", CITY_READING_FILE).count() == 4
+    with pytest.raises(ValueError):
+        read_batches(spark, out, "json")
+
+
+def test_a_new_checkpoint_adds_to_what_is_stored(spark, tmp_path, inbox):
+    out = str(tmp_path / "kept")
+    for name in ("first", "second"):
+        run_now(
+            json_dir_stream(spark, str(inbox), CITY_READING_FILE, None), name, tmp_path,
+            sink=document_writer(out, "parquet", shape=lambda batch, i: batch),
+        )
+    assert read_batches(spark, out).count() == 8
+    assert read_batches(spark, out).select("query").distinct().count() == 2
+
+
+def test_rows_without_a_time_are_replayed_as_well(spark, tmp_path):
+    rows = spark.createDataFrame([(DAY, 1), (None, 2), (DAY, 3)], "ts timestamp, v int")
+    out = str(tmp_path / "all")
+    replay(rows, "ts", lambda r: r, "append", batch_folder_writer(out), batches=2)
+    assert sorted(r.v for r in read_batches(spark, out).collect()) == [1, 2, 3]
+
+
+def test_work_folders_of_a_replay_are_removed(spark, tmp_path):
+    rows = spark.createDataFrame([(DAY, 1)], "ts timestamp, v int")
+    replay(rows, "ts", lambda r: r, "append", batch_folder_writer(str(tmp_path / "o")), name="gone")
+    left = os.listdir(os.path.join(shared_folder(spark), "stationflow"))
+    assert not [name for name in left if name.startswith("gone")]
 
 
 def test_documents(spark):

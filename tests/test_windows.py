@@ -182,3 +182,34 @@ def test_estimate_of_many_distinct_values(spark):
     )
     got = windowed_agg(frame, "ts", "1 day", metrics=[Metric("approx_distinct", "user", "users")])
     assert got.first().users == pytest.approx(20_000, rel=0.1)
+
+
+@pytest.mark.parametrize(
+    "size, slide",
+    [
+        ("1.5 seconds", "0.5 seconds"), ("90 seconds", "1 minute 30 seconds"), ("1 minute 30 seconds", "45 seconds"),
+        ("interval 2 minutes", "500 milliseconds"), ("1 HOUR", "20 Minutes"), ("250 milliseconds", None),
+    ],
+)
+def test_panes_equal_direct_windows_in_any_spelling(spark, size, slide):
+    frame = spark.createDataFrame(sample(60), SCHEMA)
+    got = [
+        sorted(map(str, windowed_agg(frame, "ts", size, slide, ["city"], METRICS, panes=panes).collect()))
+        for panes in (True, False)
+    ]
+    assert got[0] == got[1] and got[0]
+
+
+@pytest.mark.parametrize("text", ["soon", "5", "1 month", "5 parsecs", "2 seconds ago", "-1 second", "0 seconds"])
+def test_unknown_durations_are_refused(spark, text):
+    frame = spark.createDataFrame(sample(3), SCHEMA)
+    with pytest.raises(ValueError, match="not a duration"):
+        windowed_agg(frame, "ts", text, "1 second", panes=True)
+
+
+def test_exact_and_estimated_distinct_values(spark):
+    frame = spark.createDataFrame(sample(200), SCHEMA)
+    metrics = (Metric("distinct", "tag", "exact"), Metric("approx_distinct", "tag", "guess", error=0.01))
+    for panes in (True, False):
+        rows = windowed_agg(frame, "ts", "1 minute", metrics=metrics, panes=panes).collect()
+        assert rows and all(r.exact == r.guess for r in rows)
