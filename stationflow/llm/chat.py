@@ -36,7 +36,7 @@ def fold_events(events: DataFrame) -> DataFrame:
     messages begun after it so far. Events of one ``seq`` come in the order of their
     message, event and text; null texts are empty, other kinds of event are left out,
     null ids are one conversation. A message with no event left is gone; the role is
-    that of its last event that has one.
+    that of its last event that has one, an edit or not.
     """
     kinds = F.col("event").isin("delta", "edit", "regenerate")
     place = F.struct("seq", "message", "event", F.coalesce("text", F.lit("")).alias("text"))
@@ -46,11 +46,11 @@ def fold_events(events: DataFrame) -> DataFrame:
     dropped = F.min(F.when(F.col("event") == "regenerate", F.col("began"))).over(later)
     alive = began.withColumn("dropped", dropped).where("(dropped IS NULL OR dropped > began) AND event <> 'regenerate'")
     edited = F.max(F.when(F.col("event") == "edit", F.col("place"))).over(of_message)
-    left = alive.withColumn("edited", edited).where("edited IS NULL OR place >= edited")
-    told = F.struct(F.col("role").isNotNull().alias("told"), "place", "role")
+    told = F.max(F.when(F.col("role").isNotNull(), F.struct("place", "role"))).over(of_message)["role"]
+    left = alive.withColumns({"edited": edited, "told": told}).where("edited IS NULL OR place >= edited")
     folded = left.groupBy("conv_id", "message").agg(
         F.min("began").alias("began"),
-        F.max(told)["role"].alias("role"),
+        F.max("told").alias("role"),
         F.array_join(F.transform(F.array_sort(F.collect_list("place")), lambda e: e["text"]), "").alias("text"),
     )
     position = F.row_number().over(Window.partitionBy("conv_id").orderBy("began"))

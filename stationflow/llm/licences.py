@@ -178,7 +178,7 @@ def train(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Classifie
     p = rough.probabilities(feature, paragraph, n)
     best = p[:, : len(FAMILIES)].max(axis=1) / np.maximum(1 - p[:, PLAIN], 1e-12)
     some = lambda kind, values, share, least: float(max(least, np.quantile(values[held & (label == kind)], share))) if (held & (label == kind)).any() else least
-    cut_plain = min(some(PLAIN, 1 - p[:, PLAIN], 0.999, 0.5), float((1 - p[:, PLAIN])[label < PLAIN].min()))
+    cut_plain = min(some(PLAIN, 1 - p[:, PLAIN], 0.999, 0.8), float((1 - p[:, PLAIN])[label < PLAIN].min()))
     cut_known = min(some(UNKNOWN, best, 0.99, 0.5), float(best[label < PLAIN].min()))
     return Classifier(weights, bias, cut_plain, cut_known, triples)
 

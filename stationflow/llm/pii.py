@@ -137,13 +137,18 @@ def kind_spans(text: Column, kind: Kind) -> Column:
     return F.when(kind.hint(text), folded).otherwise(none)
 
 
+def all_spans(text: Column, kinds: tuple[Kind, ...] = BASE + ADDED) -> Column:
+    """The spans of all kinds; a null text has none."""
+    content = F.coalesce(text, F.lit(""))
+    return F.concat(*(kind_spans(content, k) for k in kinds))
+
+
 def find_pii(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", kinds: tuple[Kind, ...] = BASE + ADDED) -> DataFrame:
     """``keep`` and ``findings``: all spans, by kind in the order of ``kinds``, then start.
 
     A null text is empty and has none.
     """
-    content = F.coalesce(F.col(text), F.lit(""))
-    return computed_once(docs, keep, "findings", F.concat(*(kind_spans(content, k) for k in kinds)))
+    return computed_once(docs, keep, "findings", all_spans(F.col(text), kinds))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -153,8 +158,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     text stays null; ``n_chars``, where there is one, is counted anew.
     """
     rest = [c for c in docs.columns if c != text]
-    found = find_pii(docs, tuple(docs.columns), text)
-    order = F.array_sort(F.transform("findings", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    found = computed_once(docs, docs.columns, "_findings", all_spans(F.col(text)))
+    order = F.array_sort(F.transform("_findings", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
     def step(seen: Column, s: Column) -> Column:
         new = F.array(
@@ -169,7 +174,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     done = F.aggregate(
         order, zero, step, lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(F.col(text), s["at"] + 1, 2**31 - 1))
     )
-    clean = F.when(F.size("findings") > 0, done).otherwise(F.col(text))
+    clean = F.when(F.size("_findings") > 0, done).otherwise(F.col(text))
     out = computed_once(found, rest, text, clean)
     columns = [F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return out.select(*columns)

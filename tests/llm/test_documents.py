@@ -1,0 +1,353 @@
+"""Operators on documents against plain versions, on awkward texts."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stationflow.llm import bpe, decontamination, near_dedup, pii, quality, repeats, token_counts
+
+from . import brute
+
+WORDS = "the of and in to station Wind rain été über 42 a.b x-y naïve data model train test one two three four five".split()
+
+
+def prose(rng, n, words=WORDS):
+    return "".join(rng.choice(words) + rng.choice([" ", " ", " ", ", ", ".\n", "\t"]) for _ in range(n))
+
+
+def awkward():
+    """Ids and texts: copies, blanks, null, no words, long words, repeated lines, signs beyond ASCII."""
+    rng = random.Random(5)
+    texts = [prose(rng, rng.randint(1, 400)) for _ in range(40)]
+    texts += [texts[0], texts[1], texts[2] + " tail", texts[3][:-20]]
+    texts += ["", " \n\t ", None, "word", "a b c d e", "x" * 5000, "same line here\n" * 60, "é" * 300, "ab" * 400]
+    texts += ["日本語 の テキスト です " * 30, "😀 smile " * 40, prose(rng, 20_000), "\0 zero \x1f", "\r\n" * 50]
+    return list(enumerate(texts))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return awkward()
+
+
+SCHEMA = "doc_id long, text string, rank int, part string, key long, segment string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    """With columns named like those used inside, one of them null."""
+    return spark.createDataFrame([(i, t, 1, "p", None, "s") for i, t in rows], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+ITEMS = "item_id long, text string"
+
+
+def items_of(rows):
+    words = [brute.PLAIN.findall((t or "").translate(brute.LOWER)) for _, t in rows]
+    out = [(i, " ".join(w[k : k + 14]).upper()) for i, (w, k) in enumerate((w, len(w) // 2) for w in words[:12] if len(w) > 30)]
+    return out + [(100, "word"), (101, "c d e"), (102, ""), (103, None), (104, "never seen words at all"), (9, "WORD")]
+
+
+def test_contamination(spark, docs, rows):
+    tests = items_of(rows)
+    found = decontamination.find_contamination(docs, spark.createDataFrame(tests, ITEMS), pass_phrases=25)
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found.collect()}
+    want = dict(zip((i for i, _ in rows), brute.contamination([t for _, t in rows], tests)))
+    assert got == want and any(v[1] for v in want.values()) and not all(v[1] for v in want.values())
+
+
+def test_contamination_with_repeated_and_missing_ids(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (1, "z"), (None, "a b c"), (1, "a b c")], "doc_id long, text string")
+    tests = spark.createDataFrame([(7, "b c")], ITEMS)
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit) for r in decontamination.find_contamination(docs, tests).collect())
+    assert got == [("1", 1, 0), ("1", 3, 2), ("1", 3, 2), ("None", 3, 2)]
+    assert decontamination.decontaminate(docs, tests).count() == 0
+
+
+def test_near_matches_within_a_slop(spark):
+    docs = spark.createDataFrame([(1, "one two extra three four"), (2, "one two three four"), (3, "four three two one x")], "doc_id long, text string")
+    tests = spark.createDataFrame([(7, "one two three four")], ITEMS)
+    got = {r.doc_id: (r.n_hit, r.n_near) for r in decontamination.find_contamination(docs, tests, slop=1).collect()}
+    assert got == {1: (0, 1), 2: (4, 0), 3: (0, 0)}
+
+
+def test_an_index_of_all_terms_gives_the_same(spark, docs, rows, monkeypatch):
+    tests = spark.createDataFrame(items_of(rows), ITEMS)
+    narrow = sorted(map(str, decontamination.find_contamination(docs, tests).collect()))
+    monkeypatch.setattr(decontamination, "NARROW_TERMS", 3)
+    assert sorted(map(str, decontamination.find_contamination(docs, tests).collect())) == narrow
+
+
+def test_no_documents_or_tests(spark, docs, nothing):
+    none = spark.createDataFrame([], ITEMS)
+    assert decontamination.find_contamination(nothing, none).count() == 0
+    assert decontamination.find_contamination(docs, none).where("n_hit > 0").count() == 0
+    assert decontamination.decontaminate(docs, none).columns == docs.columns
+
+
+def test_near_duplicates(spark, docs, rows):
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()}
+    want = {i: (n, c, c == i) for i, (n, c) in brute.near_components(rows).items()}
+    assert got == want and sum(not v[2] for v in want.values()) >= 3
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Copies at all distances from one text, and from each other: no link is lost, none is made up."""
+    rng = random.Random(11)
+    base = [f"w{rng.randint(0, 400)}" for _ in range(150)]
+    rows = [(0, " ".join(base[5:]))]
+    for i in range(1, 240):
+        words = list(rows[rng.randrange(len(rows))][1].split() if i % 3 == 0 else base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 4, 6, 9])):
+            words[rng.randrange(len(words))] = f"w{rng.randint(0, 400)}"
+        if rng.random() < 0.3:
+            del words[: rng.randint(1, 6)]
+        rows.append((1000 - i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs).collect()}
+    want = brute.near_components(rows)
+    assert got == want and 2 < len({c for _, c in want.values()}) < 200
+
+
+def test_rare_pairs_miss_no_link(spark):
+    rng = random.Random(3)
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{rng.randint(0, 60)}" for _ in range(rng.randint(20, 90))]
+        for _ in range(12):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = f"n{rng.randint(0, 5)}"
+            rows.append((len(rows), " ".join(words[rng.randint(0, 4) :])))
+    sets = [sorted(hash(s) % 2**62 for s in brute.shingles(t)) for _, t in rows]
+    frame = spark.createDataFrame([(i, i, s) for i, s in enumerate(sets)], "set long, id long, shingles array<long>")
+    none = spark.createDataFrame([], "id long, part long")
+    got = {(r.a, r.b) for r in near_dedup._rare_pairs(frame, none, 85).collect()}
+    links = set()
+    for i, x in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            both = len(set(x) & set(sets[j]))
+            if 100 * both >= 85 * (len(x) + len(sets[j]) - both):
+                links.add((i, j))
+    assert links and links <= got and len(got) < 3 * len(links)
+
+
+def test_places_apart(spark):
+    rng = np.random.default_rng(1)
+    a, b = (rng.integers(0, 4, (50, 64)).astype(np.uint8) for _ in range(2))
+    rows = [(x.view(np.int64).tolist(), y.view(np.int64).tolist()) for x, y in zip(a, b)]
+    frame = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    got = [r.d for r in frame.select(near_dedup.places_apart("a", "b").alias("d")).collect()]
+    assert got == (a != b).sum(axis=1).tolist()
+
+
+def test_near_duplicates_with_repeated_and_missing_ids(spark, nothing):
+    text = "one two three four five six seven"
+    rows = [(5, text), (5, text), (None, text), (None, "something else entirely in these six words"), (3, text.upper()), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == [("3", "3", True), ("5", "3", False), ("5", "3", False), ("8", "8", True), ("None", "3", True), ("None", "None", True)]
+    assert sorted(str(r.doc_id) for r in near_dedup.keep_one(docs).collect()) == ["3", "8", "None", "None"]
+    assert near_dedup.near_duplicates(nothing).count() == 0
+    with pytest.raises(ValueError):
+        near_dedup.near_duplicates(docs, percent=80)
+
+
+def test_repeats(docs, rows):
+    found = repeats.remove_repeats(docs)
+    got = {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), brute.sha(bytes(r.kept))) for r in found.collect()}
+    assert got == dict(zip((i for i, _ in rows), brute.repeats([t for _, t in rows])))
+
+
+@pytest.mark.parametrize("together, sent", [(64, 4), (1, 4), (2, 1)])
+def test_repeats_either_way(spark, monkeypatch, together, sent):
+    """Passages in many surroundings, by one task or dealt out; periodic texts; segments of few bytes."""
+    monkeypatch.setattr(repeats, "TOGETHER", together)
+    monkeypatch.setattr(repeats, "SENT", sent)
+    rng = random.Random(together)
+    passages = [prose(rng, rng.randint(15, 60)) for _ in range(4)]
+    texts = [prose(rng, rng.randint(0, 40)) + rng.choice(passages)[rng.randint(0, 20) :] + prose(rng, rng.randint(0, 30)) for _ in range(80)]
+    texts += ["abc" * 200, "x" * 99, "x" * 100, "x" * 350, ("p" * 60 + "q" * 60) * 4]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), brute.sha(bytes(r.kept))) for r in repeats.remove_repeats(frame).collect()}
+    want = dict(enumerate(brute.repeats(texts)))
+    assert got == want
+
+
+def test_repeats_with_missing_ids_and_no_rows(spark, nothing):
+    text = "".join(f"{i:03d} " for i in range(60))
+    frame = spark.createDataFrame([(None, text), (4, text), (4, "z" + text)], "doc_id long, text string").coalesce(1)
+    got = sorted((str(r.doc_id), len(r.kept)) for r in repeats.remove_repeats(frame).collect())
+    assert got == [("4", 1), ("4", 240), ("None", 0)]
+    assert repeats.remove_repeats(nothing).count() == 0
+
+
+PERSONAL = [
+    "mail a.b+c@x-y.co.uk, a@b.c_d@e.f g@h x@y.z.", "1.2.3.4 256.1.1.1 01.002.3.255 1.2.3 1.2.3.4.5.6.7.8 9999999999999999999.1.1.1",
+    "4111 1111 1111 1111, 4111-1111-1111-1112 1-2 12", "+1 (555) 123-4567 +1 22 ++49 30 1234567 +1()9", "5" * 20 + " " + "4" * 16,
+    "é+44 20 7946 0958é ünï@döm.com 日本@a.b", "", None, "@" * 50 + "a" * 50, "a@a@a@a.a", ".@-.-", "IBAN GB82 WEST 1234 5698 7654 32.",
+    "account DE89370400440532013000 and DE89370400440532013001", "SSN 123-45-6789 or 123-45-6789", "Your tax id: 000-12-3456 123-45-6789",
+]
+
+
+def test_personal_data(spark):
+    rng = random.Random(4)
+    texts = PERSONAL + ["".join(rng.choice("a1.@- +()5_x\n4é") for _ in range(rng.randint(0, 120))) for _ in range(400)]
+    texts += ["1" * 50_000, "a" * 50_000, "a." * 30_000 + "@", "1 " * 30_000, "+1" + "-" * 50_000, "12," * 20_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    base = [k.name for k in pii.BASE]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.findings if s.kind in base] for r in pii.find_pii(frame).collect()}
+    assert got == {i: brute.base_spans(t) for i, t in enumerate(texts)}
+
+
+def test_added_kinds_and_scores(spark):
+    frame = spark.createDataFrame(list(enumerate(PERSONAL)), "doc_id long, text string")
+    found = {r.doc_id: [(s.kind, round(s.score, 1)) for s in r.findings] for r in pii.find_pii(frame).collect()}
+    assert ("iban", 1.0) in found[11] and [k for k, _ in found[12]].count("iban") == 1
+    assert [k for k, _ in found[13]] == ["ssn"] and [k for k, _ in found[14]] == []
+    assert found[0][0] == ("email", 1.0)
+
+
+def test_redaction(spark):
+    rows = [(1, "a@b.cd and 1.2.3.4!", 20, "f"), (2, None, None, None), (3, "é +49 30 1234567 ü", 5, "f"), (4, "clean", 5, "f"), (None, "x@y.zz", 1, "f")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, findings string")
+    done = pii.redact(frame)
+    assert done.columns == frame.columns
+    got = {r.doc_id: (r.text, r.n_chars) for r in done.collect()}
+    assert got == {
+        1: ("<EMAIL> and <IP>!", 17), 2: (None, None), 3: ("é <PHONE> ü", 11), 4: ("clean", 5), None: ("<EMAIL>", 7),
+    }
+
+
+def test_personal_data_stays_in_the_engine(docs):
+    plan = pii.redact(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(bpe.default_vocabulary())
+
+
+def test_tokens_are_the_librarys(spark, docs, rows, library):
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.same, list(r.ids)) for r in bpe.encoded_documents(docs).collect()}
+    for i, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        packed = np.array(ids, "<u4").tobytes()
+        assert got[i] == (len(ids), brute.sha(packed), brute.sha(library.decode(ids, skip_special_tokens=False)), True, ids)
+
+
+def test_odd_pieces_and_special_tokens(library):
+    with open(bpe.default_vocabulary(), encoding="utf-8") as file:
+        encoder = bpe.Encoder(file.read())
+    rng = random.Random(2)
+    signs = ["a", "s", "t", " ", "  ", "'", "'s", "'re", "'ll", "'VE", "\n", "\t", "1", "²", "é", "中", "😀", " ", "\x85", "<|endoftext|>", "<|", "...", "_"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(3000)] + ["", "a" * 3000, " " * 999, "it's we'll 's"]
+    ids, counts = encoder.encode(texts)
+    ends = np.cumsum(counts)
+    for text, a, b, want in zip(texts, ends - counts, ends, library.encode_batch(texts, add_special_tokens=False)):
+        assert ids[a:b].tolist() == want.ids, text
+        assert encoder.decode(ids[a:b]).decode("utf-8", "replace") == text
+
+
+def test_encode_and_decode_are_a_round_trip(docs, rows):
+    back = {r.doc_id: r.text for r in bpe.decode(bpe.encode(docs)).collect()}
+    assert back == {i: t or "" for i, t in rows}
+
+
+def test_bpe_without_rows_or_ids(spark, nothing):
+    assert bpe.encoded_documents(nothing).count() == 0
+    assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).first().text == ""
+
+
+def test_token_counts(docs, rows):
+    with open(bpe.default_vocabulary(), encoding="utf-8") as file:
+        initial, continuing = (set(p) for p in token_counts.word_pieces(file.read()))
+
+    def pieces(word):
+        n = at = 0
+        while at < len(word):
+            allowed = continuing if at else initial
+            at = next(j for j in range(len(word), at, -1) if word[at:j] in allowed)
+            n += 1
+        return n
+
+    got = {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in token_counts.count_tokens(docs).collect()}
+    for i, text in rows:
+        words = [w.encode() for w in brute.SPACED.findall(text or "")]
+        if max(map(len, words), default=0) < 1000:
+            assert got[i] == (len(words), sum(map(pieces, words)), 0)
+
+
+def test_automaton_against_greedy_matching():
+    initial, continuing = [b"a", b"abc", b"b", b"bcd"], [b"a", b"b", b"bc", b"cde", b"d", b"abcd"]
+    automaton = token_counts.Automaton(initial, continuing)
+    rng = random.Random(1)
+    for _ in range(5000):
+        word = bytes(rng.choice(b"abcde") for _ in range(rng.randint(1, 9)))
+        n = at = 0
+        while at < len(word):
+            ends = [j for j in range(len(word), at, -1) if word[at:j] in (continuing if at else initial)]
+            if not ends:
+                n = -1
+                break
+            at, n = ends[0], n + 1
+        assert automaton.count(word) == n, word
+
+
+def test_quality_statistics(docs, rows):
+    got = {
+        r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+        for r in quality.judge(docs, None).collect()
+    }
+    assert got == {i: brute.quality(t) for i, t in rows}
+
+
+def test_trees_follow_their_slopes_and_flat_nodes_their_splits():
+    rng = np.random.default_rng(7)
+    x = rng.random((800, len(quality.FEATURES)))
+    good = (x[:, 2] + 0.3 * rng.standard_normal(800) < 0.6).astype(float)
+    trees = quality.grow(x, good, rounds=20)
+    for name, sign in quality.MONOTONIC.items():
+        f = quality.FEATURES.index(name)
+        steps = np.repeat(x[:50, None], 30, axis=1)
+        steps[:, :, f] = np.linspace(-1, 2, 30)
+        change = np.diff(trees.score(steps.reshape(-1, x.shape[1])).reshape(50, 30), axis=1)
+        assert (sign * change >= -1e-9).all()
+
+    def walk(row, node):
+        while trees.left[node] != node:
+            node = trees.left[node] if row[trees.feature[node]] <= trees.threshold[node] else trees.right[node]
+        return trees.value[node]
+
+    want = [trees.base + sum(walk(row, r) for r in trees.root) for row in x[:100]]
+    assert np.allclose(trees.score(x[:100]), want)
+    assert ((trees.score(x) > 0) == (good > 0)).mean() > 0.8
+
+
+def test_quality_with_labels(spark, tables):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = quality.judge(docs, quality.train(docs, labels)).join(labels, "doc_id").where("NOT base_failed")
+    good, bad = ([r.kept for r in judged.where(f"quality = {q}").collect()] for q in (1, 0))
+    assert np.mean(good) > 0.98 and np.mean(bad) < 0.2
+    few = labels.limit(10)
+    assert quality.train(docs, few) is None
+    kept = quality.keep_good(docs, few)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
+def test_quality_without_rows(spark, nothing):
+    labels = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, quality int")
+    assert quality.train(nothing, labels) is None
+    assert quality.keep_good(nothing, labels).count() == 0
