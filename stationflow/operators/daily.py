@@ -83,6 +83,7 @@ def daily_phenomena(
 
 def daily_text_lines(date: Column | str = "date_key") -> list[Column]:
     """The six text lines of a tagged day."""
+    # The wording of the lines.
     day = F.col(date) if isinstance(date, str) else date
     tags = F.array_join("phenomena", ", ")
     return [

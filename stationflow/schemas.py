@@ -60,7 +60,7 @@ CITY_DAY_DOCUMENT = _struct(
     ),
 )
 
-# Position of each used column in the delimited hourly export.
+# Position of each used column in the delimited hourly export.
 HOURLY_POSITIONS = {
     "year": 0, "month": 1, "day": 2, "hour": 3,
     "temp": 4, "rhum": 6, "prcp": 8, "wspd": 14, "pres": 18,
