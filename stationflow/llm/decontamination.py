@@ -28,9 +28,9 @@ from .shipping import ship
 
 WINDOW = 10
 # Phrases asked in one pass over the index; more are asked in more passes.
-PASS_PHRASES = 200_000
+PASS_PHRASES = 50_000
 # Terms the index is narrowed to; a test set with more gets an index of all terms.
-NARROW_TERMS = 2_000_000
+NARROW_TERMS = 200_000
 
 _INDEX = (
     "segment long, doc_ids array<long>, doc_words array<long>, terms array<long>, "
