@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .steps import stored
+
 
 def components(edges: DataFrame, folder: str, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component``: each node of an edge, and the least node it reaches.
@@ -16,7 +18,6 @@ def components(edges: DataFrame, folder: str, a: str = "a", b: str = "b") -> Dat
     ``folder`` and read again: a lost executor costs a re-read. Null ends and loops
     are no edges; an edge may be given often and either way round.
     """
-    spark = edges.sparkSession
     kind = edges.schema[a].dataType
     now = edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).where("v > u").distinct()
     before = None
@@ -29,12 +30,11 @@ def components(edges: DataFrame, folder: str, a: str = "a", b: str = "b") -> Dat
         floor = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(floor, "v").where("u > m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         small = small.union(floor.select("v", F.col("m").alias("u"))).distinct()
-        small.write.parquet(f"{folder}/round-{turn}")
-        now = spark.read.parquet(f"{folder}/round-{turn}")
-        print_ = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if print_ == before:
+        now = stored(small, f"{folder}/round-{turn}")
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
+        if state == before:
             break
-        before = print_
+        before = state
     else:
         raise RuntimeError("components: no end after 200 rounds")
     roots = now.select(F.col("u").alias("node"), F.col("u").alias("component"))

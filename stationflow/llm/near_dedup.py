@@ -8,10 +8,12 @@ in turn, and every such pair meets under some key. At the similarity asked for
 (0.85), the chance of more than 25 differing places is below one in a million.
 
 A key never yields all its pairs. Documents of one set of shingles are one class.
-Each class is checked against the least class of its key, on full sets; where all
-classes of a key have come together by that, it is done. Only classes that are still
-apart from their key's main component are compared with the others, those within
-the signature distance are checked on full sets, and no link is lost.
+Each class is checked, on full sets, against the hub of its key: the class that meets
+most others. Where all classes of a key have come together by that, it is done. Only
+classes that are still apart from their key's main component are compared with the
+others. Shingles that no other of these has bound what two of them can share; pairs
+that may still be alike enough, and are within the signature distance, are checked on
+full sets, and no link is lost.
 """
 
 from __future__ import annotations
@@ -20,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import new_work_folder
 from . import arrays as A
 from .components import components
 from .shipping import ship
+from .steps import stored
 
 SHINGLE = 5
 PLACES = 64
@@ -146,7 +149,7 @@ _SPREAD = {4: 0x0F0F0F0F0F0F0F0F, 2: 0x3F3F3F3F3F3F3F3F, 1: 0x7F7F7F7F7F7F7F7F}
 
 
 def _sets(docs: DataFrame, ids: DataFrame, doc: str, text: str, size: int) -> DataFrame:
-    """``id, shingles`` of the documents named in ``ids``."""
+    """``set, id, shingles`` of the documents named in ``ids``; ``set`` numbers the rows."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in A.blocks(batches):
@@ -156,7 +159,39 @@ def _sets(docs: DataFrame, ids: DataFrame, doc: str, text: str, size: int) -> Da
             yield pa.RecordBatch.from_arrays([block.column("id"), lists], ["id", "shingles"])
 
     texts = docs.select(F.col(doc).cast("long").alias("id"), F.col(text).alias("text"))
-    return texts.join(ids, "id", "left_semi").mapInArrow(make, "id long, shingles array<long>")
+    made = texts.join(ids, "id", "left_semi").mapInArrow(make, "id long, shingles array<long>")
+    return made.withColumn("set", F.monotonically_increasing_id())
+
+
+def _rare_pairs(sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of different parts whose sets may be alike enough.
+
+    Shingles are ranked by how many of the sets have them, the rarest first. Of two
+    sets that are alike enough, the smaller (of one size: that with the rarer ones)
+    has a common shingle among its first ``short`` ranks, and the other among its
+    first ``long`` ranks; what is left behind both ranks must suffice as well.
+    """
+    whole = 100 + percent
+    each = sets.select("set", "id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    many = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("many"))
+    counted = each.join(many, "shingle")
+    alone = counted.groupBy("set").agg(F.count_if(F.col("many") == 1).alias("alone"))
+    met = counted.where("many > 1").join(alone, "set")
+    order = Window.partitionBy("set").orderBy("many", "shingle")
+    ranked = met.withColumn("rank", F.col("alone") + F.row_number().over(order))
+    ranked = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    short = F.col("rank") <= F.col("n") - F.ceil(2 * percent * F.col("n") / whole) + 1
+    rarity = F.max(F.when(short, F.col("many"))).over(Window.partitionBy("set"))
+    ranked = ranked.withColumns({"short": short, "rarity": F.coalesce(rarity, F.lit(0))})
+    ranked = ranked.join(parts.toDF("id", "part"), "id", "left").withColumn("part", F.coalesce("part", "id"))
+    names = ("set", "id", "n", "shingle", "rank", "rarity", "part")
+    x = ranked.where("short").select(*(F.col(c).alias(f"x_{c}") for c in names))
+    y = ranked.select(*(F.col(c).alias(f"y_{c}") for c in names))
+    first = F.struct("x_n", "x_rarity", "x_set") < F.struct("y_n", "y_rarity", "y_set")
+    left = 1 + F.least(F.col("x_n") - F.col("x_rank"), F.col("y_n") - F.col("y_rank"))
+    enough = (whole * left >= percent * (F.col("x_n") + F.col("y_n"))) & (100 * F.col("x_n") >= percent * F.col("y_n"))
+    pairs = x.join(y, (F.col("x_shingle") == F.col("y_shingle")) & (F.col("x_part") != F.col("y_part")) & enough & first)
+    return pairs.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -173,7 +208,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(ok)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    left, right = sets.toDF("a", "of_a"), sets.toDF("b", "of_b")
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
     held = pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b")
     return held.mapInArrow(compare, "a long, b long").distinct()
 
@@ -195,48 +231,38 @@ def near_duplicates(
         raise ValueError("near_duplicates: percent must be 85 or more")
     spark = ship(docs.sparkSession)
     folder = new_work_folder(spark, "near-dedup")
-    signed(docs, doc, text, size).write.parquet(f"{folder}/signed")
-    every = spark.read.parquet(f"{folder}/signed")
+    every = stored(signed(docs, doc, text, size), f"{folder}/signed")
 
     # One class per set of shingles, under the least id that has it.
     on_set = ["n_shingles", "set_a", "set_b"]
     worded = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = worded.groupBy(*on_set).agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
-    classes.write.parquet(f"{folder}/classes")
-    classes = spark.read.parquet(f"{folder}/classes")
-
-    def stored(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+    classes = stored(classes, f"{folder}/classes")
 
     # Keys that classes meet under. The count is combined before it is shuffled.
     keyed = classes.select("id", F.explode(chunk_keys()).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    meeting = stored(keyed.join(shared, "key").select("key", "id"), "meeting")
-    sets = stored(_sets(docs, meeting.select("id").distinct(), doc, text, size), "sets")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    meeting = stored(keyed.join(shared, "key").select("key", "id", "n"), f"{folder}/meeting")
+    sets = stored(_sets(docs, meeting.select("id").distinct(), doc, text, size), f"{folder}/sets")
     marks = classes.select("id", "signature")
 
-    # Every class against the least one of its keys.
-    least = meeting.groupBy("key").agg(F.min("id").alias("a"))
-    stars = meeting.join(least, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    stars = stars.join(marks.toDF("b", "mark_b"), "b").join(marks.toDF("a", "mark_a"), "a")
-    stars = stars.where(places_apart("mark_a", "mark_b") <= DISTANCE).select("a", "b")
-    links = stored(_linked(stars, sets, percent), "links")
+    def close(pairs: DataFrame) -> DataFrame:
+        marked = pairs.join(marks.toDF("b", "mark_b"), "b").join(marks.toDF("a", "mark_a"), "a")
+        return marked.where(places_apart("mark_a", "mark_b") <= DISTANCE).select("a", "b").distinct()
+
+    # Every class against the hub of its keys.
+    met = meeting.groupBy("id").agg(F.sum("n").alias("met"))
+    hubs = meeting.select("key", "id").join(met, "id").groupBy("key").agg(F.max_by("id", "met").alias("a"))
+    stars = meeting.join(hubs, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    links = stored(_linked(close(stars), sets, percent), f"{folder}/links")
     joined = components(links, f"{folder}/first").toDF("id", "part")
 
-    # What is still apart under some key, against all others of the key.
+    # Classes whose keys are still divided, through their rarest shingles.
     placed = meeting.join(joined, "id", "left").select("key", "id", F.coalesce("part", "id").alias("part"))
     mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    open_ = stored(placed.join(mixed.select("key"), "key").join(marks, "id"), "open")
-    main = open_.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("part", "n").alias("main"))
-    aside = open_.join(main, "key").where("part <> main").select(
-        "key", F.col("id").alias("x"), F.col("part").alias("part_x"), F.col("signature").alias("mark_x")
-    )
-    others = open_.select("key", F.col("id").alias("y"), F.col("part").alias("part_y"), F.col("signature").alias("mark_y"))
-    close = (F.col("part_x") != F.col("part_y")) & (places_apart("mark_x", "mark_y") <= DISTANCE)
-    rest = aside.join(others, (aside["key"] == others["key"]) & close)
-    rest = stored(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rest")
-    more = stored(_linked(rest, sets, percent), "more")
+    divided = placed.join(mixed.select("key"), "key").select("id").distinct()
+    rest = stored(_rare_pairs(sets.join(divided, "id", "left_semi"), joined, percent), f"{folder}/rest")
+    more = stored(_linked(close(rest), sets, percent), f"{folder}/more")
 
     all_links = links.union(more).distinct()
     parts = components(all_links, f"{folder}/last").toDF("id", "component_id")

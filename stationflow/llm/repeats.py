@@ -17,7 +17,6 @@ the hash of the 100-byte string instead of by anchor; both ways are exact.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +28,7 @@ from pyspark.sql import functions as F
 from ..session import new_work_folder
 from . import arrays as A
 from .shipping import ship
+from .steps import stored
 
 LENGTH = 100
 GRAM = 32
@@ -63,15 +63,6 @@ def _unpack(packed: bytes, *shapes: tuple[int, type]) -> list[np.ndarray]:
     return out
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of steps that are written.
-
-    It does so once the driver has collected the plans that made them.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def pack_segments(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents packed into segments of about two megabytes, one row each."""
 
@@ -359,17 +350,12 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     spark = ship(docs.sparkSession)
     folder = new_work_folder(spark, "repeats")
 
-    def stored(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{folder}/{name}")
-        _release(spark)
-        return spark.read.parquet(f"{folder}/{name}")
-
-    segments = stored(pack_segments(docs, doc, text), "segments")
+    segments = stored(pack_segments(docs, doc, text), f"{folder}/segments")
     size = segments.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
     buckets = int(max(12, size // BUCKET_BYTES))
-    flags = stored(flag_anchors(anchor_rows(segments, buckets)), "anchors")
-    strings = stored(string_rows(segments, flags, buckets), "strings")
-    more = stored(flag_strings(strings), "spans")
+    flags = stored(flag_anchors(anchor_rows(segments, buckets)), f"{folder}/anchors")
+    strings = stored(string_rows(segments, flags, buckets), f"{folder}/strings")
+    more = stored(flag_strings(strings), f"{folder}/spans")
     settled = strings.where("kind = 0").select("segment", "n", "packed")
     return cut(segments, settled.union(more))
 
