@@ -9,11 +9,11 @@ in turn, and every such pair meets under some key. At the similarity asked for
 
 A key never yields all its pairs. Documents of one set of shingles are one class.
 Each class is checked, on full sets, against the hub of its key: the class that meets
-most others. Where all classes of a key have come together by that, it is done. Only
-classes that are still apart from their key's main component are compared with the
-others. Shingles that no other of these has bound what two of them can share; pairs
-that may still be alike enough, and are within the signature distance, are checked on
-full sets, and no link is lost.
+most others. Where all classes of a key have come together by that, it is done.
+Classes whose keys are still divided are compared through their rarest shingles: two
+sets that are alike enough share one of so many of them as follows from their sizes.
+Pairs of different components that meet so, and are within the signature distance,
+are checked on full sets, and no link is lost.
 """
 
 from __future__ import annotations
