@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text worked on at a time; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

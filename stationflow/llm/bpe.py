@@ -25,9 +25,9 @@ from . import arrays as A
 from .shipping import ship
 
 # Pieces a worker remembers; beyond, it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 # Leaves of the trees that are worked on together.
-LEAVES = 1 << 20
+LEAVES = 1 << 18
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
 _TEXT_END, _SPECIAL = 0x110000, 0x110001

@@ -1,6 +1,6 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The training texts become index segments: a segment covers some two megabytes of
+The training texts become index segments: a segment covers about a megabyte of
 text and holds, per term, the ascending word positions. Segments are stored as a
 table, so the index is built once and may be asked many times. A test phrase is
 looked up by its rarest term (by counts over the whole index); every occurrence
@@ -27,6 +27,8 @@ from . import arrays as A
 from .shipping import ship
 
 WINDOW = 10
+# Bytes of text per index segment.
+SEGMENT_BYTES = 1 << 20
 # Phrases asked in one pass over the index; more are asked in more passes.
 PASS_PHRASES = 50_000
 # Terms the index is narrowed to; a test set with more gets an index of all terms.
@@ -86,7 +88,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, doc: str
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId() << 32
-        for block in A.blocks(batches):
+        for block in A.blocks(batches, size=SEGMENT_BYTES):
             terms, of = _terms(block.column("text"))
             counts = np.bincount(of, minlength=block.num_rows).astype(np.int64)
             at = np.arange(len(terms)) + of

@@ -36,7 +36,8 @@ GRAM = 32
 SENT = 4
 # Surroundings in a bucket that one task refines; more are dealt out.
 TOGETHER = 64
-# Bytes of text per bucket of the shuffles.
+# Bytes of text per segment, and per bucket of the shuffles.
+SEGMENT_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 
 _LAST = np.iinfo(np.int64).max
@@ -68,7 +69,7 @@ def pack_segments(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> D
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId() << 32
-        for block in A.blocks(batches):
+        for block in A.blocks(batches, size=SEGMENT_BYTES):
             data, offsets = A.text_bytes(block.column("text"))
             n = block.num_rows
             one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.array(values, kind))

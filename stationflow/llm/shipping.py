@@ -16,7 +16,13 @@ def ship(spark: SparkSession) -> SparkSession:
 
     So tasks can import it wherever the executors run. The archive is made on the
     driver and served by Spark; executors read no folder of the driver.
+
+    Texts are long rows, so batches between Spark and Python are made smaller than
+    Spark's default, where the session has that default: a worker holds few texts.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, "500")
     context = spark.sparkContext
     if context.applicationId not in _sent:
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
