@@ -14,7 +14,8 @@ def components(edges: DataFrame, folder: str, a: str = "a", b: str = "b") -> Dat
     Rounds of large-star and small-star: every node points its greater neighbours,
     then its lesser ones, at the least of them, until nothing moves; about log(n)
     rounds. All steps are minima per node and joins, so a node with very many
-    neighbours is combined before it is shuffled. Each round is written below
+    neighbours is combined before it is shuffled; merge joins, as a broadcast would
+    bring links to the driver. Each round is written below
     ``folder`` and read again: a lost executor costs a re-read. Null ends and loops
     are no edges; an edge may be given often and either way round.
     """
@@ -25,10 +26,10 @@ def components(edges: DataFrame, folder: str, a: str = "a", b: str = "b") -> Dat
         both = now.select("v", "u").union(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
         # Large star: neighbours above v go to the least around v.
-        large = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v > u").distinct()
+        large = both.join(least.hint("merge"), "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v > u").distinct()
         # Small star: neighbours below v, and v, go to the least of them.
         floor = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(floor, "v").where("u > m").select(F.col("u").alias("v"), F.col("m").alias("u"))
+        small = large.join(floor.hint("merge"), "v").where("u > m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         small = small.union(floor.select("v", F.col("m").alias("u"))).distinct()
         now = stored(small, f"{folder}/round-{turn}")
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()

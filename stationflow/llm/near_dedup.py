@@ -13,7 +13,8 @@ most others. Where all classes of a key have come together by that, it is done.
 Classes whose keys are still divided are compared through their rarest shingles: two
 sets that are alike enough share one of so many of them as follows from their sizes.
 Pairs of different components that meet so, and are within the signature distance,
-are checked on full sets, and no link is lost.
+are checked on full sets, and no link is lost. Joins are merge joins, so that neither
+links nor signatures pass through the driver.
 """
 
 from __future__ import annotations
@@ -210,7 +211,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    held = pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b")
+    held = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "of_a", "of_b")
     return held.mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -247,29 +248,29 @@ def near_duplicates(
     marks = classes.select("id", "signature")
 
     def close(pairs: DataFrame) -> DataFrame:
-        marked = pairs.join(marks.toDF("b", "mark_b"), "b").join(marks.toDF("a", "mark_a"), "a")
+        marked = pairs.join(marks.toDF("b", "mark_b").hint("merge"), "b").join(marks.toDF("a", "mark_a").hint("merge"), "a")
         return marked.where(places_apart("mark_a", "mark_b") <= DISTANCE).select("a", "b").distinct()
 
     # Every class against the hub of its keys.
     met = meeting.groupBy("id").agg(F.sum("n").alias("met"))
-    hubs = meeting.select("key", "id").join(met, "id").groupBy("key").agg(F.max_by("id", "met").alias("a"))
-    stars = meeting.join(hubs, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    hubs = meeting.select("key", "id").join(met.hint("merge"), "id").groupBy("key").agg(F.max_by("id", "met").alias("a"))
+    stars = meeting.join(hubs.hint("merge"), "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
     links = stored(_linked(close(stars), sets, percent), f"{folder}/links")
     joined = components(links, f"{folder}/first").toDF("id", "part")
 
     # Classes whose keys are still divided, through their rarest shingles.
-    placed = meeting.join(joined, "id", "left").select("key", "id", F.coalesce("part", "id").alias("part"))
+    placed = meeting.join(joined.hint("merge"), "id", "left").select("key", "id", F.coalesce("part", "id").alias("part"))
     mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    divided = placed.join(mixed.select("key"), "key").select("id").distinct()
-    rest = stored(_rare_pairs(sets.join(divided, "id", "left_semi"), joined, percent), f"{folder}/rest")
+    divided = placed.join(mixed.select("key").hint("merge"), "key").select("id").distinct()
+    rest = stored(_rare_pairs(sets.join(divided.hint("merge"), "id", "left_semi"), joined, percent), f"{folder}/rest")
     more = stored(_linked(close(rest), sets, percent), f"{folder}/more")
 
     all_links = links.union(more).distinct()
     parts = components(all_links, f"{folder}/last").toDF("id", "component_id")
     degree = all_links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    named = classes.drop("signature").join(parts, "id", "left").join(degree, "id", "left")
+    named = classes.drop("signature").join(parts.hint("merge"), "id", "left").join(degree.hint("merge"), "id", "left")
     named = named.select(*on_set, "id", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    found = every.drop("signature").join(named, on_set, "left")
+    found = every.drop("signature").join(named.hint("merge"), on_set, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select(
         "doc_id",
