@@ -48,12 +48,45 @@ def mod_97(account: Column) -> Column:
     return rest == 1
 
 
+# Characters of an account number by its country, as registered.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_length(proposed: Column) -> Column:
+    """Characters of the account number that a proposal starts with, null if it has none.
+
+    A number ends where a group of the proposal does. It has the length of its country;
+    where the country is not listed, the longest that mod 97 confirms counts.
+    """
+    groups = F.split(proposed, " ")
+    ends = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda n: F.array_join(F.slice(groups, 1, n), " "))
+
+    def good(number: Column) -> Column:
+        account = F.replace(number, F.lit(" "), F.lit(""))
+        country = F.substring(account, 1, 2)
+        listed = F.coalesce(*(F.when(country.isin(*names.split()), F.lit(n)) for n, names in _IBAN_LENGTHS.items()), F.length(account))
+        fits = F.length(account).between(15, 34) & (F.length(account) == listed)
+        return fits & F.rlike(account, F.lit("^[A-Z0-9]+$")) & mod_97(account)
+
+    return F.array_max(F.transform(F.filter(ends, good), F.length))
+
+
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
 @dataclass(frozen=True)
 class Kind:
-    """``pattern`` proposes, ``valid`` confirms; ``hint`` is a cheap test a text must pass to have any."""
+    """``pattern`` proposes, ``valid`` confirms; ``hint`` is a cheap test a text must pass to have any.
+
+    With ``length``, the pattern takes ``head`` characters and its group 1 has what is
+    proposed from their start on; ``length`` is that of the confirmed span, or null. So
+    proposals may overlap, and spans that start within the last one are left out.
+    """
 
     name: str
     pattern: str
@@ -61,6 +94,8 @@ class Kind:
     valid: Callable[[Column], Column]
     score: float
     words: str
+    length: Callable[[Column], Column] | None = None
+    head: int = 0
 
 
 BASE = (
@@ -96,10 +131,10 @@ BASE = (
 ADDED = (
     Kind(
         "iban",
-        r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}",
-        lambda t: F.rlike(t, F.lit(r"[A-Z]{2}[0-9]{2}")),
-        lambda m: F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & mod_97(F.replace(m, F.lit(" "), F.lit(""))),
-        0.7, "IBAN|iban|account|Account|bank|Bank",
+        # The last character, if any, goes on after 34 or is a small letter: no number ends before it.
+        r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}[A-Za-z0-9]?))[A-Z]{2}[0-9]{2}",
+        lambda t: F.rlike(t, F.lit(r"[A-Z]{2}[0-9]{2}")), lambda m: F.lit(True),
+        0.7, "IBAN|iban|account|Account|bank|Bank", iban_length, 4,
     ),
     Kind(
         "ssn",
@@ -118,19 +153,23 @@ def kind_spans(text: Column, kind: Kind) -> Column:
     Places are code points, the end is exclusive. A match that is not confirmed is
     dropped whole.
     """
-    found = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("match"))
+    group = F.lit(1 if kind.length else 0)
+    found = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(kind.pattern), group).alias("match"))
     base = kind in BASE
     near = lambda x: F.rlike(F.right(x["gap"], F.lit(CONTEXT)), F.lit(kind.words))
 
     def step(seen: Column, x: Column) -> Column:
         start = seen["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
+        taken = F.lit(kind.head) if kind.length else F.length(x["match"])
+        end = start + (kind.length(x["match"]) if kind.length else taken)
         score = F.when(near(x), kind.score + BOOST).otherwise(kind.score)
         span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
         good = x["match"].isNotNull() & kind.valid(x["match"])
+        if kind.length:
+            good = good & (start >= F.coalesce(F.try_element_at(seen["spans"], F.lit(-1))["end"], F.lit(0))) & end.isNotNull()
         if not base and kind.score < REPORTED:
             good = good & near(x)
-        return F.struct(end.alias("at"), F.when(good, F.array_append(seen["spans"], span)).otherwise(seen["spans"]).alias("spans"))
+        return F.struct((start + taken).alias("at"), F.when(good, F.array_append(seen["spans"], span)).otherwise(seen["spans"]).alias("spans"))
 
     none = F.array().cast(_SPANS)
     folded = F.aggregate(found, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)["spans"]

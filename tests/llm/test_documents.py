@@ -217,6 +217,22 @@ def test_added_kinds_and_scores(spark):
     assert found[0][0] == ("email", 1.0)
 
 
+def test_account_numbers_with_text_right_behind(spark):
+    """Capitalised words, digits, a code before and further numbers; countries bound what is tried."""
+    german, british, norse = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+    cases = [
+        (f"IBAN {german} Bitte", [german]), (f"{british} Today", [british]), ("GB82WEST12345698765432 2024-01-02", ["GB82WEST12345698765432"]),
+        (f"{german} {british}", [german, british]), (f"{british} {german} {norse} A", [british, german, norse]), (f"AB12 {german}", [german]),
+        (f"é {german}.", [german]), (f"x{german} {german}x {german}7 7{german}", []), (f"{german[:-1]}1 Bitte", []), (f"{german} 0000 0000 0000", [german]),
+        ("ZZ33 1234 5678 9012 345 OK", ["ZZ33 1234 5678 9012 345"]), (f"{german}\n{norse}", [german, norse]), (" ".join([british] * 20), [british] * 20),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: [cases[r.doc_id][0][s.start : s.end] for s in r.findings if s.kind == "iban"] for r in pii.find_pii(frame).collect()}
+    assert found == {i: want for i, (_, want) in enumerate(cases)}
+    done = {r.doc_id: r.text for r in pii.redact(frame).collect()}
+    assert (done[0], done[1], done[3]) == ("IBAN <IBAN> Bitte", "<IBAN> Today", "<IBAN> <IBAN>")
+
+
 def test_redaction(spark):
     rows = [(1, "a@b.cd and 1.2.3.4!", 20, "f"), (2, None, None, None), (3, "é +49 30 1234567 ü", 5, "f"), (4, "clean", 5, "f"), (None, "x@y.zz", 1, "f")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, findings string")
