@@ -147,47 +147,56 @@ ADDED = (
 _SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
-def kind_spans(text: Column, kind: Kind) -> Column:
+def kind_spans(text: Column, kind: Kind, whole_context: bool = False) -> Column:
     """``kind, start, end, score`` of the confirmed matches of a text, by start.
 
     Places are code points, the end is exclusive. A match that is not confirmed is
-    dropped whole.
+    dropped whole. Context words are looked for in the ``CONTEXT`` characters before a
+    match; without ``whole_context``, no further back than the last proposal of the kind.
     """
     group = F.lit(1 if kind.length else 0)
     found = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(kind.pattern), group).alias("match"))
     base = kind in BASE
-    near = lambda x: F.rlike(F.right(x["gap"], F.lit(CONTEXT)), F.lit(kind.words))
+    last = lambda *parts: F.right(F.concat(*parts), F.lit(CONTEXT))
 
     def step(seen: Column, x: Column) -> Column:
+        gap = F.right(x["gap"], F.lit(CONTEXT))
+        near = F.rlike(last(seen["before"], gap) if whole_context else gap, F.lit(kind.words))
         start = seen["at"] + F.length(x["gap"])
         taken = F.lit(kind.head) if kind.length else F.length(x["match"])
         end = start + (kind.length(x["match"]) if kind.length else taken)
-        score = F.when(near(x), kind.score + BOOST).otherwise(kind.score)
+        score = F.when(near, kind.score + BOOST).otherwise(kind.score)
         span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
         good = x["match"].isNotNull() & kind.valid(x["match"])
         if kind.length:
             good = good & (start >= F.coalesce(F.try_element_at(seen["spans"], F.lit(-1))["end"], F.lit(0))) & end.isNotNull()
         if not base and kind.score < REPORTED:
-            good = good & near(x)
-        return F.struct((start + taken).alias("at"), F.when(good, F.array_append(seen["spans"], span)).otherwise(seen["spans"]).alias("spans"))
+            good = good & near
+        spans = F.when(good, F.array_append(seen["spans"], span)).otherwise(seen["spans"])
+        through = F.substring(x["match"], 1, kind.head) if kind.length else F.right(x["match"], F.lit(CONTEXT))
+        before = last(seen["before"], gap, through) if whole_context else seen["before"]
+        return F.struct((start + taken).alias("at"), before.alias("before"), spans.alias("spans"))
 
     none = F.array().cast(_SPANS)
-    folded = F.aggregate(found, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)["spans"]
+    folded = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), none.alias("spans")), step)["spans"]
     return F.when(kind.hint(text), folded).otherwise(none)
 
 
-def all_spans(text: Column, kinds: tuple[Kind, ...] = BASE + ADDED) -> Column:
+def all_spans(text: Column, kinds: tuple[Kind, ...] = BASE + ADDED, whole_context: bool = False) -> Column:
     """The spans of all kinds; a null text has none."""
     content = F.coalesce(text, F.lit(""))
-    return F.concat(*(kind_spans(content, k) for k in kinds))
+    return F.concat(*(kind_spans(content, k, whole_context) for k in kinds))
 
 
-def find_pii(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", kinds: tuple[Kind, ...] = BASE + ADDED) -> DataFrame:
+def find_pii(
+    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", kinds: tuple[Kind, ...] = BASE + ADDED,
+    whole_context: bool = False,
+) -> DataFrame:
     """``keep`` and ``findings``: all spans, by kind in the order of ``kinds``, then start.
 
-    A null text is empty and has none.
+    A null text is empty and has none. ``whole_context`` as in ``kind_spans``.
     """
-    return computed_once(docs, keep, "findings", all_spans(F.col(text), kinds))
+    return computed_once(docs, keep, "findings", all_spans(F.col(text), kinds, whole_context))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -197,7 +206,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     text stays null; ``n_chars``, where there is one, is counted anew.
     """
     rest = [c for c in docs.columns if c != text]
-    found = computed_once(docs, docs.columns, "_findings", all_spans(F.col(text)))
+    found = computed_once(docs, docs.columns, "_findings", all_spans(F.col(text), whole_context=True))
     order = F.array_sort(F.transform("_findings", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
     def step(seen: Column, s: Column) -> Column:
@@ -220,7 +229,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
-    found = find_pii(spark.read.parquet(f"{folder}/documents.parquet"))
+    found = find_pii(spark.read.parquet(f"{folder}/documents.parquet"), whole_context=True)
     of = lambda *names: F.filter("findings", lambda s: s["kind"].isin(*names))
     told = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","

@@ -233,6 +233,23 @@ def test_account_numbers_with_text_right_behind(spark):
     assert (done[0], done[1], done[3]) == ("IBAN <IBAN> Bitte", "<IBAN> Today", "<IBAN> <IBAN>")
 
 
+def test_context_reaches_over_earlier_proposals(spark, tmp_path):
+    """Lists, a date or a phone between word and number; not beyond 40 characters, whatever lies between."""
+    cases = [
+        ("SSNs: 123-45-6789, 234-56-7890", 2), ("SSN (issued 2019-05-01): 123-45-6789", 1), ("ssn 1-2 3-4 5-6 123-45-6789 and 234-56-7890.", 2),
+        ("SSN" + "-" * 37 + "123-45-6789", 1), ("SSN" + "é" * 38 + "123-45-6789", 0), ("SSN 1-2" + " " * 34 + "123-45-6789", 0),
+        ("SSN 1-2" + " " * 33 + "123-45-6789", 1), ("123-45-6789 SSN", 0), ("SSN " + "1-2 " * 9 + "123-45-6789 234-56-7890", 1), ("SSN " + "1" * 30 + "-2 123-45-6789", 1),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    done = {r.doc_id: r.text.count("<SSN>") for r in pii.redact(frame).collect()}
+    assert done == {i: n for i, (_, n) in enumerate(cases)}
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spans = {r.doc_id: r.spans.count("ssn") for r in pii.op2_pii(spark, str(tmp_path)).collect()}
+    assert spans == done
+    mails = spark.createDataFrame([(1, "mail a@b.cd, e@f.gh")], "doc_id long, text string")
+    assert [round(s.score, 1) for s in pii.find_pii(mails, whole_context=True).first().findings] == [1.0, 1.0]
+
+
 def test_redaction(spark):
     rows = [(1, "a@b.cd and 1.2.3.4!", 20, "f"), (2, None, None, None), (3, "é +49 30 1234567 ü", 5, "f"), (4, "clean", 5, "f"), (None, "x@y.zz", 1, "f")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, findings string")
