@@ -4,8 +4,9 @@ A signature is 64 min-hashes of a document's word shingles, cut to 8 bits each.
 documents of similarity J differ in about (1 - J) of the places. The places are split
 into 13 chunks. If two signatures differ in at most 25 places, some chunk differs in
 at most one (pigeonhole): so each chunk is indexed with every single place left out
-in turn, and every such pair meets under some key. At the similarity asked for
-(0.85), the chance of more than 25 differing places is below one in a million.
+in turn, and every such pair meets under some key. At similarity 0.85, the chance of
+more than 25 differing places is below one in a million. ``signature_for`` makes the
+numbers of places and chunks that hold the same chance at a lower similarity.
 
 A key never yields all its pairs. Documents of one set of shingles are one class.
 Each class is checked, on full sets, against the hub of its key: the class that meets
@@ -19,7 +20,10 @@ links nor signatures pass through the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +38,55 @@ from .steps import stored
 
 SHINGLE = 5
 PLACES = 64
-CHUNKS = 13
-# Signatures may differ in so many places; 2 * CHUNKS would break the guarantee.
-DISTANCE = 2 * CHUNKS - 1
+# Chance that a pair at the similarity a signature is made for stays unseen.
+MISSED = 1e-6
+_MOST = 256
+
+
+@dataclass(frozen=True)
+class Signature:
+    """``places`` in ``chunks``; pairs at ``percent`` or more differ in at most ``distance``.
+
+    2 * ``chunks`` must exceed ``distance``, or no chunk is sure to differ in one place at most.
+    """
+
+    percent: int
+    places: int
+    chunks: int
+    distance: int
+
+    @property
+    def bounds(self) -> np.ndarray:
+        return np.linspace(0, self.places, self.chunks + 1).round().astype(int)
+
+
+@cache
+def signature_for(percent: int) -> Signature:
+    """The fewest places whose chunks are as long as those for 85 percent, or longer.
+
+    Shorter chunks would make keys that unlike documents share by chance.
+    """
+    apart = 1 - percent / 100
+    for places in range(PLACES, _MOST + 1, 8):
+        beyond, distance = 0.0, places
+        while distance > 0:
+            more = math.comb(places, distance) * apart**distance * (1 - apart) ** (places - distance)
+            if beyond + more > MISSED:
+                break
+            beyond, distance = beyond + more, distance - 1
+        chunks = distance // 2 + 1
+        if 13 * places >= PLACES * chunks:
+            return Signature(percent, places, chunks, distance)
+    raise ValueError(f"signature_for: {_MOST} places do not do for {percent} percent")
+
+
+SIGNATURE = signature_for(85)
 
 _RANDOM = np.random.default_rng(85)
 _FLIP = _RANDOM.integers(0, 2**64, PLACES, dtype=np.uint64)
 _FACTOR = _RANDOM.integers(0, 2**63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BOUNDS = np.linspace(0, PLACES, CHUNKS + 1).round().astype(int)
+_FLIP = np.concatenate([_FLIP, _RANDOM.integers(0, 2**64, _MOST - PLACES, dtype=np.uint64)])
+_FACTOR = np.concatenate([_FACTOR, _RANDOM.integers(0, 2**63, _MOST - PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)])
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, signature array<long>"
 
@@ -71,16 +116,18 @@ def block_shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, n
     return value[once], text[once]
 
 
-def _signatures(value: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """One row of 8 longs per text that has shingles: 64 places of 8 bits."""
+def _signatures(value: np.ndarray, sizes: np.ndarray, places: int) -> np.ndarray:
+    """One row of longs per text that has shingles: 8 places of 8 bits each."""
     heads = (np.cumsum(sizes) - sizes)[sizes > 0]
-    low = np.empty((len(heads), PLACES), np.uint64)
-    for i in range(PLACES):
+    low = np.empty((len(heads), places), np.uint64)
+    for i in range(places):
         low[:, i] = np.minimum.reduceat((value ^ _FLIP[i]) * _FACTOR[i], heads)
     return (A.mix(low) >> np.uint64(56)).astype(np.uint8).view(np.int64)
 
 
-def signed(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+def signed(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, places: int = PLACES,
+) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, signature`` per row of ``docs``.
 
     ``set_a, set_b`` are 128 bits that stand for the whole set; a text without
@@ -98,8 +145,8 @@ def signed(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int =
             if len(heads):
                 sets[0, some] = np.add.reduceat(A.mix(value), heads)
                 sets[1, some] = np.add.reduceat(A.mix(value ^ _FLIP[0]), heads)
-            marks = _signatures(value, sizes) if len(heads) else np.zeros((0, 8), np.int64)
-            ends = np.concatenate(([0], np.cumsum(np.where(some, 8, 0))))
+            marks = _signatures(value, sizes, places) if len(heads) else np.zeros((0, places // 8), np.int64)
+            ends = np.concatenate(([0], np.cumsum(np.where(some, places // 8, 0))))
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"), pa.array(sizes.astype(np.int64)),
@@ -118,14 +165,14 @@ def _place(i: int) -> Column:
     return F.shiftrightunsigned(F.col("signature")[i // 8], 8 * (i % 8)).bitwiseAND(F.lit(255).cast("long"))
 
 
-def chunk_keys() -> Column:
+def chunk_keys(signature: Signature = SIGNATURE) -> Column:
     """All keys of a signature: each chunk with each of its places left out."""
     keys = []
-    for chunk in range(CHUNKS):
-        places = range(_BOUNDS[chunk], _BOUNDS[chunk + 1])
+    for chunk in range(signature.chunks):
+        places = range(*signature.bounds[chunk : chunk + 2].tolist())
         for out in places:
-            # Chunk and place left out, then four bytes at most: one long, no hashing.
-            key = F.lit(chunk * 64 + out).cast("long")
+            # Chunk and place left out, then five bytes at most: one long, no hashing.
+            key = F.lit(chunk * signature.places + out).cast("long")
             for p in places:
                 if p != out:
                     key = F.shiftleft(key, 8).bitwiseOR(_place(p))
@@ -133,11 +180,11 @@ def chunk_keys() -> Column:
     return F.array(*keys)
 
 
-def places_apart(a: str, b: str) -> Column:
+def places_apart(a: str, b: str, places: int = PLACES) -> Column:
     """In how many of the places two signatures differ."""
     ones = F.lit(0x0101010101010101)
     total = F.lit(0)
-    for i in range(PLACES // 8):
+    for i in range(places // 8):
         x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
         for shift in (4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift).bitwiseAND(F.lit(_SPREAD[shift])))
@@ -217,6 +264,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = 85,
+    signature: Signature = SIGNATURE,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links, kept`` per row of ``docs``.
 
@@ -225,14 +273,15 @@ def near_duplicates(
     confirmed links of the row's class. A text without words, or null, has no
     shingles and is its own component. Rows that share an id are one document: what
     links one links all. Rows with a null id make no links: they have the component
-    of rows with the same set, or null, and are kept. ``percent`` must be 85 or
-    more, or the signatures would miss links.
+    of rows with the same set, or null, and are kept. ``percent`` must not be
+    below that of ``signature``, which would miss links: below 85, it takes
+    ``signature_for(percent)`` with it.
     """
-    if percent < 85:
-        raise ValueError("near_duplicates: percent must be 85 or more")
+    if percent < signature.percent:
+        raise ValueError(f"near_duplicates: the signature is made for {signature.percent} percent or more")
     spark = ship(docs.sparkSession)
     folder = new_work_folder(spark, "near-dedup")
-    every = stored(signed(docs, doc, text, size), f"{folder}/signed")
+    every = stored(signed(docs, doc, text, size, signature.places), f"{folder}/signed")
 
     # One class per set of shingles, under the least id that has it.
     on_set = ["n_shingles", "set_a", "set_b"]
@@ -241,7 +290,7 @@ def near_duplicates(
     classes = stored(classes, f"{folder}/classes")
 
     # Keys that classes meet under. The count is combined before it is shuffled.
-    keyed = classes.select("id", F.explode(chunk_keys()).alias("key"))
+    keyed = classes.select("id", F.explode(chunk_keys(signature)).alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     meeting = stored(keyed.join(shared, "key").select("key", "id", "n"), f"{folder}/meeting")
     sets = stored(_sets(docs, meeting.select("id").distinct(), doc, text, size), f"{folder}/sets")
@@ -249,7 +298,7 @@ def near_duplicates(
 
     def close(pairs: DataFrame) -> DataFrame:
         marked = pairs.join(marks.toDF("b", "mark_b").hint("merge"), "b").join(marks.toDF("a", "mark_a").hint("merge"), "a")
-        return marked.where(places_apart("mark_a", "mark_b") <= DISTANCE).select("a", "b").distinct()
+        return marked.where(places_apart("mark_a", "mark_b", signature.places) <= signature.distance).select("a", "b").distinct()
 
     # Every class against the hub of its keys.
     met = meeting.groupBy("id").agg(F.sum("n").alias("met"))

@@ -162,6 +162,35 @@ def test_near_duplicates_with_repeated_and_missing_ids(spark, nothing):
         near_dedup.near_duplicates(docs, percent=80)
 
 
+def test_near_duplicates_below_85_percent(spark):
+    """Pairs between 0.80 and 0.85, and just below, against all pairs; signatures keep the chance of a miss."""
+    rng = random.Random(80)
+    rows = []
+    for g in range(120):
+        words = [f"g{g}w{i}" for i in range(rng.randint(80, 200))]
+        rows.append((2 * g, " ".join(words)))
+        for at in rng.sample(range(0, len(words), 6), max(1, round(len(words) * rng.uniform(0.016, 0.026)))):
+            words[at] = f"n{at}"
+        rows.append((2 * g + 1, " ".join(words)))
+    alike = {}
+    for (a, x), (b, y) in zip(rows[::2], rows[1::2]):
+        x, y = brute.shingles(x), brute.shingles(y)
+        alike[b] = 100 * len(x & y) / len(x | y)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = {"percent": 80, "signature": near_dedup.signature_for(80)}
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, **settings).collect()}
+    assert got == {i: i - 1 if alike.get(i, 0) >= 80 else i for i, _ in rows}
+    assert sum(80 <= x < 85 for x in alike.values()) > 25 and min(alike.values()) < 80
+    assert near_dedup.keep_one(docs, **settings).count() == sum(i == c for i, c in got.items())
+    assert near_dedup.signature_for(85) == near_dedup.Signature(85, 64, 13, 25)
+    for percent in (75, 80, 84, 90):
+        s = near_dedup.signature_for(percent)
+        apart = np.random.default_rng(percent).binomial(s.places, 1 - percent / 100, 1_000_000)
+        assert s.distance < 2 * s.chunks and (apart > s.distance).sum() <= 8
+    with pytest.raises(ValueError):
+        near_dedup.signature_for(60)
+
+
 def test_repeats(docs, rows):
     found = repeats.remove_repeats(docs)
     got = {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), brute.sha(bytes(r.kept))) for r in found.collect()}
