@@ -192,18 +192,19 @@ def build(vectors: DataFrame, doc: str, vector: str, kept: int = 21, sample: int
 
     Null vectors, those of zeros only, and those with null or non-finite components
     take no part, and neither do null ids; short vectors are as if filled up with
-    zeros. Rows that share an id count as one item, as near as the nearest of them.
-    Of equal vectors the ``kept`` least ids are listed: a search can ask for
+    zeros. Of rows that share an id, the one whose vector is greatest in Spark's order
+    of arrays counts. Of equal vectors the ``kept`` least ids are listed: a search can ask for
     ``kept - 1`` neighbours besides the query's own id. Other columns are not read.
     An empty table makes an index without lists.
     """
     spark = ship(vectors.sparkSession)
     folder = new_work_folder(spark, "neighbours")
     rows = vectors.select(F.col(doc).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    rows = rows.where(F.col("id").isNotNull() & _usable(F.col("vector"))).withColumn("hash", F.xxhash64("vector"))
+    rows = rows.where(F.col("id").isNotNull() & _usable(F.col("vector"))).groupBy("id").agg(F.max("vector").alias("vector"))
+    rows = rows.withColumn("hash", F.xxhash64("vector"))
     # Spark takes the least ids of a vector in each task before they are shuffled.
     place = F.row_number().over(Window.partitionBy("hash", "vector").orderBy("id"))
-    least = rows.distinct().withColumn("place", place).where(F.col("place") <= kept)
+    least = rows.withColumn("place", place).where(F.col("place") <= kept)
     classes = least.groupBy("hash", "vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     classes = stored(classes.select("vector", "ids", F.col("ids")[0].alias("id"), "hash"), f"{folder}/classes")
 
@@ -237,7 +238,7 @@ def build(vectors: DataFrame, doc: str, vector: str, kept: int = 21, sample: int
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Highest scores first, ties by id, each id once."""
+    """Highest scores first, ties by id, each id once, as a vector may stand in several lists."""
     order = np.lexsort((ids, -scores))
     scores, ids = scores[order], ids[order]
     _, first = np.unique(ids, return_index=True)
@@ -267,7 +268,8 @@ def search(index: Index, queries: DataFrame, doc: str, vector: str, k: int = 20)
         return spark.createDataFrame([], "query_id long, rank int, id long, score double")
     folder = new_work_folder(spark, "search")
     rows = queries.select(F.col(doc).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("vector"))
-    rows = rows.where(F.col("query_id").isNotNull() & _usable(F.col("vector"))).withColumn("hash", F.xxhash64("vector"))
+    rows = rows.where(F.col("query_id").isNotNull() & _usable(F.col("vector"))).groupBy("query_id").agg(F.max("vector").alias("vector"))
+    rows = rows.withColumn("hash", F.xxhash64("vector"))
     # Equal queries are searched once, under the least of their ids.
     asked = rows.groupBy("hash", "vector").agg(F.min("query_id").alias("id"))
     asked = stored(asked, f"{folder}/asked")
@@ -331,7 +333,7 @@ def search(index: Index, queries: DataFrame, doc: str, vector: str, k: int = 20)
     gathered = partial.groupBy("id").agg(F.collect_list(F.struct("scores", "found")).alias("lists"))
     gathered = gathered.select("id", F.col("lists.scores").alias("scores"), F.col("lists.found").alias("found"))
     answers = gathered.mapInArrow(merge, "id long, best array<struct<score:double,id:bigint>>")
-    named = rows.join(asked, ["hash", "vector"]).select("query_id", "id").distinct().join(answers, "id")
+    named = rows.join(asked, ["hash", "vector"]).select("query_id", "id").join(answers, "id")
     others = F.slice(F.filter("best", lambda b: b["id"] != F.col("query_id")), 1, k)
     ranked = named.select("query_id", F.posexplode(others).alias("at", "hit"))
     return ranked.select("query_id", (F.col("at") + 1).alias("rank"), F.col("hit")["id"].alias("id"), F.col("hit")["score"].alias("score"))

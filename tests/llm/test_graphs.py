@@ -59,7 +59,7 @@ def nearest(vectors, queries, k):
                 score = 0.0
                 for a, b in zip(pad(q), pad(x)):
                     score += a * b
-                best[i] = max(score, best.get(i, -np.inf))
+                best[i] = score
         out[query] = sorted(best.items(), key=lambda p: (-p[1], p[0]))[:k]
     return out
 
@@ -116,7 +116,7 @@ def test_neighbours_of_copies_ties_and_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 0.0]) for i in range(100)] + [
         (100, [0.5, 0.5]), (101, [-1.0, 0.0]), (102, None), (103, [0.0, 0.0]), (104, [1.0, None]), (105, [nan, 1.0]),
-        (106, [inf, 1.0]), (107, []), (108, [2.0]), (None, [1.0, 0.0]), (100, [0.5, 0.5]), (109, [0.0, 3.0]), (109, [0.1, 0.0]),
+        (106, [inf, 1.0]), (107, []), (108, [2.0]), (None, [1.0, 0.0]), (100, [0.5, 0.5]), (109, [0.0, 3.0]), (109, [-0.1, 9.0]),
     ]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit("x")).withColumn("list", F.lit(1))
     index = neighbours.build(table, "vec_id", "embedding", kept=4)
