@@ -66,6 +66,21 @@ def dedupe_keep_first(
     return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def keep_first_seen(rows: DataFrame, key: str | Sequence[str], time: str, delay: str) -> DataFrame:
+    """The first row of each key: on a stream the one that arrives first.
+
+    A stream remembers a key until ``delay`` has passed since its event time, so a
+    message that is delivered again within that is dropped, and state stays bounded.
+    Rows whose event time is more than ``delay`` behind the latest are late and are
+    dropped as well. On a table the earliest row by ``time`` stays, whatever the
+    distance; a null time comes first. The time of a stream must be TIMESTAMP.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    if rows.isStreaming:
+        return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    return dedupe_keep_first(rows, keys, [F.col(time).asc_nulls_first(), F.xxhash64(*rows.columns)])
+
+
 def drop_incomplete(rows: DataFrame) -> DataFrame:
     """Rows without any null. Comes after de-duplication: a first copy with a
     null takes its whole key away."""

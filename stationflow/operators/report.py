@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .windows import Metric, group_metrics
+from .windows import Metric, distinct_count, group_metrics
 
 
 def count_rows(rows: DataFrame) -> DataFrame:
@@ -21,16 +21,19 @@ def overall(
 ) -> DataFrame:
     """One row: count, exact distinct counts (column -> name), min, max and mean.
 
-    Each distinct column is reduced to its distinct values per task before the
-    shuffle, so low-cardinality columns cost next to nothing.
+    Each distinct column has a pass of its own over nothing but that column, as
+    several in one pass would copy every row once per column. Whole numbers and
+    dates are counted by bitmaps, other values are made distinct in each task
+    before the shuffle. ``rows`` is read again for each: pass a stored table.
     """
-    return rows.agg(
+    whole = rows.agg(
         F.count(F.lit(1)).alias("total_records"),
-        *(F.count_distinct(F.col(column)).alias(name) for column, name in distinct.items()),
         F.min(value).alias(f"min_{prefix}"),
         F.max(value).alias(f"max_{prefix}"),
         F.avg(value).alias(f"avg_{prefix}"),
     )
+    counts = (distinct_count(rows, column, name).scalar().alias(name) for column, name in distinct.items())
+    return whole.select("total_records", *counts, f"min_{prefix}", f"max_{prefix}", f"avg_{prefix}")
 
 
 def per_group(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from ...operators import (
     unseen_rows,
 )
 from ...session import new_work_folder
+from ...streaming import KeyedTable
 from .tables import comparable, table
 
 PRICE_BANDS = Bands(((">", 300_000, "high"), (">", 150_000, "middle")), "low")
@@ -79,6 +82,22 @@ def etl_load_new(spark, folder):
     raise AssertionError("keys that come twice were loaded")
 
 
+def etl_load_atomic(spark, folder):
+    """Four deliveries, two of them loaded at the same time, into a keyed table; the table.
+
+    The deliveries are those of ``etl_load_new``, the second one three times.
+    """
+    loads = KeyedTable(spark, new_work_folder(spark, "keyed"), merge=2)
+    first, second = (transform(half) for half in _halves(spark, folder))
+    loads.load(first)
+    with ThreadPoolExecutor(2) as threads:
+        both = [threads.submit(loads.load, second) for _ in range(2)]
+        loaded = sorted(b.result().loaded for b in both)
+    if loaded[0] or loads.load(second).loaded:
+        raise AssertionError("a delivery was loaded twice")
+    return loads.read().select(*COLUMNS)
+
+
 def enrich_nation_region(spark, folder):
     regions = table(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     return enrich(table(spark, folder, "nation"), regions, "n_regionkey")
@@ -96,6 +115,7 @@ QUERIES = {
     "etl_transform": etl_transform,
     "etl_unseen_rows": etl_unseen_rows,
     "etl_load_new": etl_load_new,
+    "etl_load_atomic": etl_load_atomic,
     "enrich_nation_region": enrich_nation_region,
     "enrich_orders_customer": enrich_orders_customer,
 }
@@ -129,6 +149,7 @@ ORACLE = {
     "etl_transform": _transform_sql(),
     "etl_unseen_rows": _UNSEEN,
     "etl_load_new": f"{_FIRST} UNION ALL {_UNSEEN}",
+    "etl_load_atomic": f"{_FIRST} UNION ALL {_UNSEEN}",
     "enrich_nation_region": """
     SELECT n_nationkey, n_name, n_regionkey, r_name
     FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""",

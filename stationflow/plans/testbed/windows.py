@@ -59,16 +59,35 @@ def win_distinct_approx(spark, folder):
     return comparable(overall_windows(readings(spark, folder), time="ts"))
 
 
+def _users(spark, folder, size, slide=None):
+    """Distinct users per window: the exact number by bitmaps, and the estimate of a sketch."""
+    rows = readings(spark, folder).withColumnRenamed("wind_speed", "user_id")
+    exact = (Metric("count", None, "readings"), Metric("bitmap_distinct", "user_id", "users"))
+    guess = (Metric("sketch_distinct", "user_id", "guess", error=0.01),)
+    days = windowed_agg(rows, "ts", size, slide, metrics=exact)
+    both = days.join(windowed_agg(rows, "ts", size, slide, metrics=guess), ["window_start", "window_end"])
+    near = F.abs(F.col("guess") - F.col("users")) * 20 <= F.col("users")
+    return comparable(both.select("window_start", "readings", "users", near.cast("int").alias("within_bound")))
+
+
 def win_users_approx(spark, folder):
     """Distinct users per day: the exact number, and whether the estimate is within 5 %."""
-    rows = readings(spark, folder).withColumnRenamed("wind_speed", "user_id")
+    return _users(spark, folder, "1 day")
+
+
+def win_users_sliding(spark, folder):
+    """The same over days that begin every hour: each row is in 24 windows."""
+    return _users(spark, folder, "1 day", "1 hour")
+
+
+def win_distinct_sliding(spark, folder):
+    """Exact distinct users and dates per city and 6 hours, every hour; no values are held."""
+    rows = readings(spark, folder).withColumnRenamed("wind_speed", "user_id").withColumn("date", F.to_date("ts"))
     metrics = (
-        Metric("count", None, "readings"), Metric("approx_distinct", "user_id", "guess", error=0.01),
-        Metric("distinct", "user_id", "users"),
+        Metric("count", None, "readings"), Metric("bitmap_distinct", "user_id", "users"),
+        Metric("bitmap_distinct", "date", "dates"), Metric("max", "temperature", "highest"),
     )
-    days = windowed_agg(rows, "ts", "1 day", metrics=metrics)
-    near = F.abs(F.col("guess") - F.col("users")) * 20 <= F.col("users")
-    return comparable(days.select("window_start", "readings", "users", near.cast("int").alias("within_bound")))
+    return comparable(windowed_agg(rows, "ts", "6 hours", "1 hour", ["city"], metrics))
 
 
 def win_sliding_fraction(spark, folder):
@@ -87,6 +106,8 @@ QUERIES = {
     "win_day_by_hour": win_day_by_hour,
     "win_distinct_approx": win_distinct_approx,
     "win_users_approx": win_users_approx,
+    "win_users_sliding": win_users_sliding,
+    "win_distinct_sliding": win_distinct_sliding,
     "win_sliding_fraction": win_sliding_fraction,
 }
 
@@ -162,6 +183,14 @@ ORACLE = {
     SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, count(*) AS readings,
            count(DISTINCT user_id) AS users, CAST(1 AS INTEGER) AS within_bound
     FROM events GROUP BY 1""",
+    "win_users_sliding": f"""
+    SELECT window_start, readings, users, CAST(1 AS INTEGER) AS within_bound
+    FROM ({windows_sql(86400, 3600, f"{_N} AS readings, count(DISTINCT user_id) AS users", key=False)})""",
+    "win_distinct_sliding": windows_sql(
+        21600, 3600,
+        f"""{_N} AS readings, count(DISTINCT user_id) AS users, count(DISTINCT CAST(ts AS DATE)) AS dates,
+            {_HIGH} AS highest""",
+    ),
     "win_sliding_fraction": windows_sql(
         1.5, 0.5, f"{_N} AS readings, {_LOW} AS lowest, max(k) AS highest"
     ),
