@@ -292,7 +292,7 @@ def _merged(m: Metric, held: dict[str, str], words: dict[str, str], kinds: dict[
         mean = F.try_divide(F.sum(f"_part_{c}"), F.sum(f"_count_{c}"))
         return _like(mean, kind, 4, 4)
     value = _AGGREGATES[m.fn](f"_{m.fn}_{c}")
-    return _like(value, kind, 10, 0) if m.fn == "sum" else value
+    return _like(value, kind, 10 if m.fn == "sum" else 0, 0)
 
 
 def part_metrics(rows: DataFrame, keys: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:

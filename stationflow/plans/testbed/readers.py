@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ...functions import processing_time
 from ...operators import derive_city_day, enrich
-from ...schemas import CATEGORY, CITY_DAY_DOCUMENT, CITY_READING_FILE, PRODUCT
+from ...schemas import CATEGORY, CITY_DAY, CITY_DAY_DOCUMENT, CITY_READING_FILE, PRODUCT
 from ...session import new_work_folder
-from ...sources import delimited, json_array, json_dir_stream, nested_json
+from ...sources import delimited, json_array, json_dir_stream, nested_json, split_json_array
 from ...streaming import batch_folder_writer, read_batches
 from ..city_table import POSITION, extract, transform
 from ..repair import write_delimited
@@ -84,6 +84,33 @@ def whole_documents(spark, folder):
     return read.select(F.explode("weather_data").alias("r")).select("r.city", "r.date", "r.temperature")
 
 
+def _big_documents(orders: DataFrame, path: str, documents: int = 4) -> None:
+    """Orders as a few documents over many lines, each of them one file."""
+    record = F.struct(
+        F.col("o_orderstatus").alias("city"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.col("o_totalprice").alias("temperature"), F.col("o_custkey").alias("humidity"),
+        F.concat(F.col("o_orderpriority"), F.lit(' "}{[, \\')).alias("condition"), F.col("o_orderkey").cast("double").alias("precipitation"),
+    )
+    rows = orders.select(F.pmod("o_orderkey", F.lit(documents)).alias("k"), F.col("o_orderkey").alias("at"), F.to_json(record).alias("value"))
+    first = rows.groupBy("k").agg(F.min("at").alias("first"))
+    rows = rows.join(first, "k").select("k", "at", F.concat(F.when(F.col("at") == F.col("first"), "").otherwise(","), "value").alias("value"))
+    head = first.select("k", F.lit(-1).cast("long").alias("at"), F.lit('{"metadata": {"weather_data": [{"city": "none"}]},\n"weather_data": [').alias("value"))
+    foot = first.select("k", F.lit(2**62).alias("at"), F.lit('],\n"more": [{"city": "none"}]}').alias("value"))
+    lines = rows.union(head).union(foot).repartition("k").sortWithinPartitions("k", "at")
+    lines.drop("at").write.partitionBy("k").text(path)
+
+
+def nested_document_split(spark, folder):
+    """Big nested documents, each read by as many tasks as its file has splits."""
+    work = new_work_folder(spark, "big-documents")
+    _big_documents(table(spark, folder, "orders"), f"{work}/documents")
+    records = split_json_array(spark, f"{work}/documents", CITY_DAY, f"{work}/split", "weather_data")
+    return records.select(
+        "city", "date", "temperature", F.col("humidity").cast("double").alias("humidity"), "condition", "precipitation",
+        F.col("pressure").isNull().cast("int").alias("missing"),
+    )
+
+
 def array_and_categories(spark, folder):
     """Products as lines of JSON arrays, categories as a delimited file, joined."""
     work = new_work_folder(spark, "arrays")
@@ -126,11 +153,17 @@ QUERIES = {
     "nested_document_records": nested_document_records,
     "nested_document_order": nested_document_order,
     "whole_documents": whole_documents,
+    "nested_document_split": nested_document_split,
     "array_and_categories": array_and_categories,
     "stamped_rows": stamped_rows,
 }
 
 ORACLE = {
+    "nested_document_split": """
+    SELECT o_orderstatus AS city, strftime(o_orderdate, '%Y-%m-%d') AS date, o_totalprice AS temperature,
+           CAST(o_custkey AS DOUBLE) AS humidity, o_orderpriority || ' "}{[, \\' AS condition,
+           CAST(o_orderkey AS DOUBLE) AS precipitation, CAST(1 AS INTEGER) AS missing
+    FROM orders""",
     "json_folder_stream": """
     SELECT event_id AS file_id, event_type AS city,
            CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS DOUBLE) AS temperature,

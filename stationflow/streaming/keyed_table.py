@@ -113,7 +113,7 @@ class KeyedTable(CommittedTable):
         stored = self.spark.read.schema(rows.schema).parquet(self.where(f"{name}/rows"))
         count = stored.count()
         size = self._facts(count, 0)["bits"] if count else _WORD
-        places = stored.select(F.explode(_places(self.key, F.lit(size))).alias("place"))
+        places = stored.select(F.explode(_places(self.key, F.lit(size).cast("long"))).alias("place"))
         words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(_bit("place")).alias("bits"))
         words.select(F.lit(name).alias("folder"), F.lit(size).cast("long").alias("size"), "word", "bits").write.parquet(self.where(f"{name}/filter"))
         return count
@@ -142,15 +142,16 @@ class KeyedTable(CommittedTable):
                 self.files.remove(f"data/{name}")
 
     def candidates(self, incoming: DataFrame, folders: Sequence[str], facts: dict[str, dict]) -> DataFrame:
-        """``folder`` and key of all pairs that the filters do not rule out."""
+        """``folder, key``: all pairs that the filters do not rule out."""
         filters = self.spark.read.schema("folder string, size long, word long, bits long").parquet(*(self.where(f"{f}/filter") for f in folders))
         sizes = sorted({facts[folder]["bits"] for folder in folders})
-        sized = incoming.select(self.key, F.explode(F.array(*(F.lit(size).cast("long") for size in sizes))).alias("size"))
-        placed = sized.withColumn("places", _places(self.key, F.col("size"))).withColumn("wanted", F.size("places"))
-        asked = placed.select(self.key, "size", "wanted", F.explode("places").alias("place")).withColumn("word", F.shiftright("place", 6))
+        keys = incoming.select(F.col(self.key).alias("key"))
+        sized = keys.select("key", F.explode(F.array(*(F.lit(size).cast("long") for size in sizes))).alias("size"))
+        placed = sized.withColumn("places", _places("key", F.col("size"))).withColumn("wanted", F.size("places"))
+        asked = placed.select("key", "size", "wanted", F.explode("places").alias("place")).withColumn("word", F.shiftright("place", 6))
         hits = asked.join(filters, ["size", "word"]).where(F.col("bits").bitwiseAND(_bit("place")) != 0)
-        whole = hits.groupBy("folder", self.key).agg(F.count(F.lit(1)).alias("n"), F.first("wanted").alias("wanted"))
-        return whole.where("n = wanted").select("folder", self.key)
+        whole = hits.groupBy("folder", "key").agg(F.count(F.lit(1)).alias("found"), F.first("wanted").alias("wanted"))
+        return whole.where("found = wanted").select("folder", "key")
 
     def known(self, incoming: DataFrame, folders: Sequence[str], schema: T.StructType, facts: dict[str, dict]) -> DataFrame | None:
         """Keys of ``incoming`` in these folders; None where no folder can have one."""
@@ -161,8 +162,9 @@ class KeyedTable(CommittedTable):
         read = [r.folder for r in asked.select("folder").distinct().collect()]
         if not read:
             return None
-        rows = self.read_folders([f"{folder}/rows" for folder in read], schema)
-        return rows.select(self.key).join(asked.select(self.key).distinct(), self.key, "left_semi").select(self.key)
+        held = self.read_folders([f"{folder}/rows" for folder in read], schema).select(self.key)
+        likely = asked.select(F.col("key").alias(self.key)).distinct()
+        return held.join(likely, self.key, "left_semi").select(self.key)
 
     def read(self) -> DataFrame:
         last = self.latest()
