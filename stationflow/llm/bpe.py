@@ -80,11 +80,6 @@ def _classes() -> np.ndarray:
     return np.append(table, np.array([_END, _END], np.uint8))
 
 
-@functools.cache
-def _hash_table() -> np.ndarray:
-    return np.random.default_rng(9).integers(0, 2**63, 0x110002, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
 def piece_starts(points: np.ndarray) -> np.ndarray:
     """True where a piece starts, in code points with marks after each text.
 
@@ -136,7 +131,7 @@ class Encoder:
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
         self.widths = np.array([len(t) for t in texts], np.int64)
         self.heads = np.cumsum(self.widths) - self.widths
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
@@ -239,19 +234,17 @@ class Encoder:
         text_of = np.cumsum(first == _TEXT_END) - (first == _TEXT_END)
         piece = first != _TEXT_END
         starts, ends, first, text_of = starts[piece], ends[piece], first[piece], text_of[piece]
-        key = A.span_hash(A.prefix_hash(points, _hash_table()), starts, ends)
-        chosen, where, back = np.unique(key, return_index=True, return_inverse=True)
+        key = A.word_hash(points.view(np.uint8), 4 * starts, 4 * ends)
+        _, where, back = np.unique(key, return_index=True, return_inverse=True)
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        numbers = chosen.tolist()
+        raw = points.tobytes()
+        pieces = [raw[a:b] for a, b in zip((4 * starts[where]).tolist(), (4 * ends[where]).tolist())]
         is_special = first[where] == _SPECIAL
-        new = [i for i, k in enumerate(numbers) if k not in self.known and not is_special[i]]
+        new = [piece for piece, special in zip(pieces, is_special.tolist()) if piece not in self.known and not special]
         if new:
-            raw = points.tobytes()
-            lows, highs = (4 * starts[where]).tolist(), (4 * ends[where]).tolist()
-            pieces = [raw[lows[i] : highs[i]].decode("utf-32-le").encode() for i in new]
-            self.known.update(zip((numbers[i] for i in new), self.merge_pieces(pieces)))
-        found = [b"\0\0\0\0" if s else self.known[k] for k, s in zip(numbers, is_special.tolist())]
+            self.known.update(zip(new, self.merge_pieces([piece.decode("utf-32-le").encode() for piece in new])))
+        found = [b"\0\0\0\0" if s else self.known[piece] for piece, s in zip(pieces, is_special.tolist())]
         flat = np.frombuffer(b"".join(found), "<u4")
         sizes = np.array([len(x) // 4 for x in found], np.int64)
         heads = np.cumsum(sizes) - sizes

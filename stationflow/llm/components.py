@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .steps import stored
@@ -31,8 +31,10 @@ def components(edges: DataFrame, folder: str, a: str = "a", b: str = "b") -> Dat
         floor = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(floor.hint("merge"), "v").where("u > m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         small = small.union(floor.select("v", F.col("m").alias("u"))).distinct()
-        now = stored(small, f"{folder}/round-{turn}")
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
+        seen = Observation()
+        looked = small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("sum"))
+        now = stored(looked, f"{folder}/round-{turn}")
+        state = dict(seen.get)
         if state == before:
             break
         before = state

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..session import new_work_folder
 from . import arrays as A
 from .shipping import ship
+from .steps import stored
 
 WINDOW = 10
 # Bytes of text per index segment.
@@ -46,7 +47,7 @@ def _terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = A.text_bytes(column)
     data = A.lowered(data)
     starts, ends = A.runs(A.PLAIN_WORD[data], offsets)
-    return A.span_hash(A.prefix_hash(data), starts, ends).view(np.int64), A.owner(offsets, starts)
+    return A.word_hash(data, starts, ends).view(np.int64), A.owner(offsets, starts)
 
 
 def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -264,12 +265,12 @@ def find_contamination(
     vocabulary = np.sort(narrow) if len(narrow) <= NARROW_TERMS else None
     build_index(docs, vocabulary, doc, text).write.parquet(f"{folder}/index")
     index = spark.read.parquet(f"{folder}/index")
-    found = None
+    # A pass is written before the next one begins, so one set of phrases is held at a time.
+    done = []
     for pack in _passes(asked, term_counts(index), f"{folder}/ranked", pass_phrases):
-        part = match_phrases(index, pack, slop)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], _HITS)
+        done.append(f"{folder}/hits-{len(done)}")
+        stored(match_phrases(index, pack, slop), done[-1])
+    found = spark.read.schema(_HITS).parquet(*done) if done else spark.createDataFrame([], _HITS)
     by_doc = found.groupBy("segment", "ordinal").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),

@@ -82,7 +82,7 @@ def paragraph_features(column: pa.Array):
     lines = np.union1d(offsets[:-1], feeds)
     lines = lines[lines < len(data)]
     line = np.searchsorted(lines, starts, "right") - 1
-    term = A.span_hash(A.prefix_hash(low), starts, ends)
+    term = A.word_hash(low, starts, ends)
     used, heads, sizes = np.unique(line, return_index=True, return_counts=True)
     paired = line[1:] == line[:-1] if len(line) else np.zeros(0, bool)
     pair = A.mix(A.mix(term[:-1]) + term[1:])[paired]

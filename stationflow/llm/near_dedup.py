@@ -97,7 +97,7 @@ def block_shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, n
     data = A.lowered(data)
     starts, ends = A.runs(A.SPACED_WORD[data], offsets)
     of = A.owner(offsets, starts)
-    term = A.span_hash(A.prefix_hash(data), starts, ends)
+    term = A.word_hash(data, starts, ends)
     n = len(offsets) - 1
     words = np.bincount(of, minlength=n)
     first = np.cumsum(words) - words
@@ -160,24 +160,33 @@ def signed(
     return picked.mapInArrow(sign, _SIGNED)
 
 
-def _place(i: int) -> Column:
-    """The byte of place ``i``, as a long."""
-    return F.shiftrightunsigned(F.col("signature")[i // 8], 8 * (i % 8)).bitwiseAND(F.lit(255).cast("long"))
+def _places(marks: pa.Array, places: int) -> np.ndarray:
+    """Signatures as rows of one byte per place."""
+    return marks.flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(-1, places)
 
 
-def chunk_keys(signature: Signature = SIGNATURE) -> Column:
-    """All keys of a signature: each chunk with each of its places left out."""
-    keys = []
-    for chunk in range(signature.chunks):
-        places = range(*signature.bounds[chunk : chunk + 2].tolist())
-        for out in places:
-            # Chunk and place left out, then five bytes at most: one long, no hashing.
-            key = F.lit(chunk * signature.places + out).cast("long")
-            for p in places:
-                if p != out:
-                    key = F.shiftleft(key, 8).bitwiseOR(_place(p))
-            keys.append(key)
-    return F.array(*keys)
+def keyed(classes: DataFrame, signature: Signature) -> DataFrame:
+    """``key, id`` per key of ``id, signature``: each chunk with each of its places left out."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = _places(batch.column("signature"), signature.places).astype(np.uint64)
+            keys = []
+            for chunk in range(signature.chunks):
+                places = range(*signature.bounds[chunk : chunk + 2].tolist())
+                for out in places:
+                    # Chunk and place left out, then five bytes at most: one long, no hashing.
+                    key = np.full(len(marks), chunk * signature.places + out, np.uint64)
+                    for p in places:
+                        if p != out:
+                            key = key << np.uint64(8) | marks[:, p]
+                    keys.append(key)
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.tile(ids, len(keys)))], ["key", "id"]
+            )
+
+    return classes.select("id", "signature").mapInArrow(spread, "key long, id long")
 
 
 def places_apart(a: str, b: str, places: int = PLACES) -> Column:
@@ -196,18 +205,22 @@ def places_apart(a: str, b: str, places: int = PLACES) -> Column:
 _SPREAD = {4: 0x0F0F0F0F0F0F0F0F, 2: 0x3F3F3F3F3F3F3F3F, 1: 0x7F7F7F7F7F7F7F7F}
 
 
-def _sets(docs: DataFrame, ids: DataFrame, doc: str, text: str, size: int) -> DataFrame:
-    """``set, id, shingles`` of the documents named in ``ids``; ``set`` numbers the rows."""
+def _sets(docs: DataFrame, ids: DataFrame, doc: str, text: str, size: int, places: int) -> DataFrame:
+    """``set, id, shingles, signature`` of the documents named in ``ids``; ``set`` numbers the rows."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in A.blocks(batches):
             value, of = block_shingles(block.column("text"), size)
             ends = np.searchsorted(of, np.arange(block.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([block.column("id"), lists], ["id", "shingles"])
+            marks = _signatures(value, np.diff(ends), places)
+            each = pa.array(np.concatenate(([0], np.cumsum(np.where(np.diff(ends) > 0, places // 8, 0)))), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [block.column("id"), lists, pa.ListArray.from_arrays(each, pa.array(marks.ravel()))], ["id", "shingles", "signature"]
+            )
 
     texts = docs.select(F.col(doc).cast("long").alias("id"), F.col(text).alias("text"))
-    made = texts.join(ids, "id", "left_semi").mapInArrow(make, "id long, shingles array<long>")
+    made = texts.join(ids, "id", "left_semi").mapInArrow(make, "id long, shingles array<long>, signature array<long>")
     return made.withColumn("set", F.monotonically_increasing_id())
 
 
@@ -242,41 +255,45 @@ def _rare_pairs(sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are alike enough."""
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, signature: Signature) -> DataFrame:
+    """The pairs within the signature distance whose full sets are alike enough."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
-            of_a, of_b = batch.column("of_a"), batch.column("of_b")
-            for i in range(batch.num_rows):
-                x, y = of_a[i].values.to_numpy(), of_b[i].values.to_numpy()
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            keep = pa.array(ok)
+            apart = (_places(batch.column("mark_a"), signature.places) != _places(batch.column("mark_b"), signature.places)).sum(axis=1)
+            batch = batch.filter(pa.array(apart <= signature.distance))
+            # A shingle of both sets of a pair stands next to itself.
+            sizes = [np.diff(batch.column(c).offsets.to_numpy()) for c in ("of_a", "of_b")]
+            row = np.concatenate([np.repeat(np.arange(batch.num_rows), n) for n in sizes])
+            value = np.concatenate([batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("of_a", "of_b")])
+            order = np.lexsort((value, row))
+            twice = ~A.first_of_run(row[order], value[order])
+            both = np.bincount(row[order][twice], minlength=batch.num_rows)
+            keep = pa.array(100 * both >= percent * (sizes[0] + sizes[1] - both))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    held = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "of_a", "of_b")
-    return held.mapInArrow(compare, "a long, b long").distinct()
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"), F.col("signature").alias("mark_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"), F.col("signature").alias("mark_b"))
+    held = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+    return held.select("a", "b", "of_a", "of_b", "mark_a", "mark_b").mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(
     docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = 85,
-    signature: Signature = SIGNATURE,
+    signature: Signature | None = None,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links, kept`` per row of ``docs``.
 
     Documents are linked where 100 * intersection >= ``percent`` * union of their
-    distinct shingles. ``component_id`` is the least id reached, ``n_links`` the
-    confirmed links of the row's class. A text without words, or null, has no
-    shingles and is its own component. Rows that share an id are one document: what
-    links one links all. Rows with a null id make no links: they have the component
-    of rows with the same set, or null, and are kept. ``percent`` must not be
-    below that of ``signature``, which would miss links: below 85, it takes
-    ``signature_for(percent)`` with it.
+    distinct shingles. ``component_id`` is the least id reached, ``n_links`` how many
+    links of the row's class were looked at and confirmed. A text without words, or
+    null, has no shingles and is its own component. Rows that share an id are one
+    document: what links one links all. Rows with a null id make no links: they have
+    the component of rows with the same set, or null, and are kept. Very long texts
+    are taken whole; other columns are not read; no rows give no rows. ``signature``
+    is made for ``percent`` unless given, and must not be made for more.
     """
+    signature = signature or signature_for(min(percent, SIGNATURE.percent))
     if percent < signature.percent:
         raise ValueError(f"near_duplicates: the signature is made for {signature.percent} percent or more")
     spark = ship(docs.sparkSession)
@@ -290,35 +307,42 @@ def near_duplicates(
     classes = stored(classes, f"{folder}/classes")
 
     # Keys that classes meet under. The count is combined before it is shuffled.
-    keyed = classes.select("id", F.explode(chunk_keys(signature)).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    meeting = stored(keyed.join(shared, "key").select("key", "id", "n"), f"{folder}/meeting")
-    sets = stored(_sets(docs, meeting.select("id").distinct(), doc, text, size), f"{folder}/sets")
-    marks = classes.select("id", "signature")
-
-    def close(pairs: DataFrame) -> DataFrame:
-        marked = pairs.join(marks.toDF("b", "mark_b").hint("merge"), "b").join(marks.toDF("a", "mark_a").hint("merge"), "a")
-        return marked.where(places_apart("mark_a", "mark_b", signature.places) <= signature.distance).select("a", "b").distinct()
+    keys = keyed(classes, signature)
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    meeting = stored(keys.join(shared, "key").select("key", "id", "n"), f"{folder}/meeting")
+    sets = stored(_sets(docs, meeting.select("id").distinct(), doc, text, size, signature.places), f"{folder}/sets")
 
     # Every class against the hub of its keys.
     met = meeting.groupBy("id").agg(F.sum("n").alias("met"))
     hubs = meeting.select("key", "id").join(met.hint("merge"), "id").groupBy("key").agg(F.max_by("id", "met").alias("a"))
     stars = meeting.join(hubs.hint("merge"), "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    links = stored(_linked(close(stars), sets, percent), f"{folder}/links")
-    joined = components(links, f"{folder}/first").toDF("id", "part")
+    links = stored(_linked(stars, sets, percent, signature), f"{folder}/links")
+    joined = stored(components(links, f"{folder}/first").toDF("id", "part"), f"{folder}/joined")
 
     # Classes whose keys are still divided, through their rarest shingles.
     placed = meeting.join(joined.hint("merge"), "id", "left").select("key", "id", F.coalesce("part", "id").alias("part"))
     mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    divided = placed.join(mixed.select("key").hint("merge"), "key").select("id").distinct()
-    rest = stored(_rare_pairs(sets.join(divided.hint("merge"), "id", "left_semi"), joined, percent), f"{folder}/rest")
-    more = stored(_linked(close(rest), sets, percent), f"{folder}/more")
-
-    all_links = links.union(more).distinct()
-    parts = components(all_links, f"{folder}/last").toDF("id", "component_id")
-    degree = all_links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    named = classes.drop("signature").join(parts.hint("merge"), "id", "left").join(degree.hint("merge"), "id", "left")
-    named = named.select(*on_set, "id", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    divided = stored(placed.join(mixed.select("key").hint("merge"), "key").select("id").distinct(), f"{folder}/divided")
+    parts = joined.toDF("id", "component_id")
+    if not divided.isEmpty():
+        rest = stored(_rare_pairs(sets.join(divided.hint("merge"), "id", "left_semi"), joined, percent), f"{folder}/rest")
+        more = stored(_linked(rest, sets, percent, signature), f"{folder}/more")
+        if not more.isEmpty():
+            # What these links add is between parts, of which there are few left.
+            ends = {side: joined.toDF(side, f"part_{side}") for side in ("a", "b")}
+            across = more.join(ends["a"].hint("merge"), "a", "left").join(ends["b"].hint("merge"), "b", "left")
+            across = across.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b"))
+            whole = stored(components(across, f"{folder}/last").toDF("part", "component_id"), f"{folder}/whole")
+            lone = more.select(F.explode(F.array("a", "b")).alias("id")).select("id", F.col("id").alias("part"))
+            named = joined.union(lone).groupBy("id").agg(F.min("part").alias("part")).join(whole.hint("merge"), "part", "left")
+            parts = named.select("id", F.coalesce("component_id", "part").alias("component_id"))
+            links = links.union(more).distinct()
+
+    degree = links.select(F.explode(F.array("a", "b")).alias("id"))
+    told = parts.withColumn("one", F.lit(0)).unionByName(degree.select("id", F.lit(None).cast("long").alias("component_id"), F.lit(1).alias("one")))
+    told = told.groupBy("id").agg(F.min("component_id").alias("component_id"), F.sum("one").alias("n_links"))
+    named = classes.drop("signature").join(told.hint("merge"), "id", "left")
+    named = named.select(*on_set, F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     found = every.drop("signature").join(named.hint("merge"), on_set, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select(

@@ -22,8 +22,6 @@ from .shipping import ship
 
 # Labelled rows the trees are grown on, at most: those of the least id hashes.
 SAMPLE = 10_000
-# Fewer labelled rows, or one class only, give no trees: the base rules decide.
-LEAST_LABELLED = 50
 # Share of good held-out rows that may score under the threshold.
 LOST_GOOD = 0.002
 
@@ -54,13 +52,12 @@ def block_statistics(column: pa.Array) -> np.ndarray:
     """One row per text, one column per name in ``STATISTICS``."""
     data, offsets = A.text_bytes(column)
     n = len(offsets) - 1
-    sums = A.prefix_hash(data)
     lead = (data & 0xC0) != 0x80
     inside = A.SPACED_WORD[data]
     starts, ends = A.runs(inside, offsets)
     of = A.owner(offsets, starts)
     words = np.bincount(of, minlength=n)
-    term = A.span_hash(sums, starts, ends)
+    term = A.word_hash(data, starts, ends)
 
     # Words in windows of three that are found twice or more in their text.
     repeated = np.zeros(len(starts), bool)
@@ -93,7 +90,7 @@ def block_statistics(column: pa.Array) -> np.ndarray:
     dup = np.zeros(n, np.int64)
     bare = np.zeros(n, np.int64)
     if len(line_starts):
-        line = A.span_hash(sums, line_starts, line_ends)
+        line = A.word_hash(data, line_starts, line_ends)
         order = np.lexsort((line, line_of))
         dup = lines - np.bincount(line_of[order][A.first_of_run(line_of[order], line[order])], minlength=n)
         bare = np.bincount(line_of[~_STOP[data[line_ends - 1]]], minlength=n)
@@ -236,20 +233,23 @@ def document_statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), te
 
 
 def train(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Trees | None:
-    """Trees grown on at most ``sample`` labelled documents, or None where labels are too few.
+    """Trees grown on at most ``sample`` labelled documents, or None where all are of one class.
 
     The sample is the labelled ids of the least hashes; an id labelled twice counts
-    as the worse. A fifth of it, again by hash, is held out to set the threshold.
+    as the worse, and of rows that share an id the least text stands for it. A fifth
+    of it, again by hash, is held out to set the threshold. Where no label is of the
+    other class nothing can be learned, and the base rules decide alone. Null ids and
+    labels are no labels.
     """
-    key = F.xxhash64("_id")
-    known = labels.select(F.col(doc).alias("_id"), F.col("quality").alias("_good")).dropna()
-    known = known.groupBy("_id").agg(F.min("_good").alias("_good"))
-    picked = known.orderBy(key, "_id").limit(sample)
-    joined = docs.join(F.broadcast(picked), docs[doc] == picked["_id"]).select("_id", "_good", F.col(text).alias("_text"))
-    rows = document_statistics(joined, ("_id", "_good"), "_text").limit(2 * sample).collect()
+    known = labels.select(F.col(doc).alias("id"), F.col("quality").alias("good")).dropna()
+    known = known.groupBy("id").agg(F.min("good").alias("good"))
+    picked = known.orderBy(F.xxhash64("id"), "id").limit(sample)
+    texts = docs.select(F.col(doc).alias("id"), F.col(text).alias("text"))
+    joined = texts.join(F.broadcast(picked), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("good").alias("good"))
+    rows = document_statistics(joined, ("id", "good")).collect()  # one row per id, ``sample`` at most
     rows = sorted(tuple(r) for r in rows)
     good = np.array([r[1] > 0 for r in rows], float)
-    if len(rows) < LEAST_LABELLED or good.min() == good.max():
+    if not len(rows) or good.min() == good.max():
         return None
     x = features(np.array([r[2:] for r in rows], np.int64))
     ids = np.array([r[0] for r in rows], np.int64).view(np.uint64)

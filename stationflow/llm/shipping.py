@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -15,18 +17,16 @@ def ship(spark: SparkSession) -> SparkSession:
     """Add the package to the session's Python files, once per application.
 
     So tasks can import it wherever the executors run. The archive is made on the
-    driver and served by Spark; executors read no folder of the driver.
-
-    Texts are long rows, so batches between Spark and Python are made smaller than
-    Spark's default, where the session has that default: a worker holds few texts.
+    driver and served by Spark, which keeps its own copy; executors read no folder of
+    the driver. The session's settings are left alone: operators cut the batches they
+    get (``arrays.blocks``), and Spark bounds a batch by its bytes.
     """
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(rows) == "10000":
-        spark.conf.set(rows, "500")
     context = spark.sparkContext
     if context.applicationId not in _sent:
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        target = os.path.join(tempfile.mkdtemp(prefix="package-"), "stationflow_package.zip")
+        folder = tempfile.mkdtemp(prefix="package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        target = os.path.join(folder, "stationflow_package.zip")
         with zipfile.ZipFile(target, "w") as archive:
             for folder, _, files in os.walk(top):
                 for name in files:

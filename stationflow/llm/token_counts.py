@@ -108,7 +108,7 @@ def word_pieces(described: str) -> tuple[list[bytes], list[bytes]]:
 
 
 @functools.lru_cache(maxsize=2)
-def _automaton(described: str) -> tuple[Automaton, dict[int, int]]:
+def _automaton(described: str) -> tuple[Automaton, dict[bytes, int]]:
     return Automaton(*word_pieces(described)), {}
 
 
@@ -127,15 +127,16 @@ def count_tokens(docs: DataFrame, doc: str = "doc_id", text: str = "text", vocab
             data, offsets = A.text_bytes(block.column("text"))
             starts, ends = A.runs(A.SPACED_WORD[data], offsets)
             of = A.owner(offsets, starts)
-            key, first, back = np.unique(A.span_hash(A.prefix_hash(data), starts, ends), return_index=True, return_inverse=True)
+            key, first, back = np.unique(A.word_hash(data, starts, ends), return_index=True, return_inverse=True)
             if len(known) > REMEMBERED:
                 known.clear()
             counts = np.empty(len(key), np.int64)
             raw = data.tobytes()
-            for i, (k, a, b) in enumerate(zip(key.tolist(), starts[first].tolist(), ends[first].tolist())):
-                if k not in known:
-                    known[k] = automaton.count(raw[a:b])
-                counts[i] = known[k]
+            for i, (a, b) in enumerate(zip(starts[first].tolist(), ends[first].tolist())):
+                word = raw[a:b]
+                if word not in known:
+                    known[word] = automaton.count(word)
+                counts[i] = known[word]
             each = counts[back]
             n = block.num_rows
             total = np.bincount(of, np.abs(each), n).astype(np.int64)

@@ -44,7 +44,7 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))) if words else frozenset()
 
 
-def near_components(docs):
+def near_components(docs, percent=85):
     """id -> (n_shingles, component); ``docs`` has distinct ids."""
     sets = {i: shingles(t) for i, t in docs}
     parent = {i: i for i in sets}
@@ -57,7 +57,7 @@ def near_components(docs):
 
     for a, b in itertools.combinations(sorted(i for i in sets if sets[i]), 2):
         both = len(sets[a] & sets[b])
-        if both and 100 * both >= 85 * len(sets[a] | sets[b]):
+        if both and 100 * both >= percent * len(sets[a] | sets[b]):
             x, y = sorted((root(a), root(b)))
             parent[y] = x
     return {i: (len(s), root(i)) for i, s in sets.items()}

@@ -6,9 +6,10 @@ import random
 
 import numpy as np
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
-from stationflow.llm import bpe, decontamination, near_dedup, pii, quality, repeats, token_counts
+from stationflow.llm import arrays, bpe, decontamination, near_dedup, pii, quality, repeats, token_counts
 
 from . import brute
 
@@ -159,7 +160,7 @@ def test_near_duplicates_with_repeated_and_missing_ids(spark, nothing):
     assert sorted(str(r.doc_id) for r in near_dedup.keep_one(docs).collect()) == ["3", "8", "None", "None"]
     assert near_dedup.near_duplicates(nothing).count() == 0
     with pytest.raises(ValueError):
-        near_dedup.near_duplicates(docs, percent=80)
+        near_dedup.near_duplicates(docs, percent=80, signature=near_dedup.SIGNATURE)
 
 
 def test_near_duplicates_below_85_percent(spark):
@@ -403,10 +404,56 @@ def test_quality_with_labels(spark, tables):
     judged = quality.judge(docs, quality.train(docs, labels)).join(labels, "doc_id").where("NOT base_failed")
     good, bad = ([r.kept for r in judged.where(f"quality = {q}").collect()] for q in (1, 0))
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.2
-    few = labels.limit(10)
-    assert quality.train(docs, few) is None
-    kept = quality.keep_good(docs, few)
-    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+    few = labels.where("quality = 1").limit(7).union(labels.where("quality = 0").limit(3))
+    trees = quality.train(docs, few)
+    assert trees is not None and len(trees.root)
+    clashing = docs.withColumns({"_id": F.lit(1), "_good": F.lit("x"), "id": F.lit(2), "good": F.lit(3), "c0": F.lit(4)})
+    kept = quality.keep_good(clashing, few)
+    assert kept.columns == clashing.columns and 0 < kept.count() < docs.count()
+    # One class teaches nothing: the base rules alone.
+    assert quality.train(docs, labels.where("quality = 1")) is None
+
+
+def test_training_text_does_not_depend_on_the_order_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(i % 40, f"word {i} " * (3 + i % 50)) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    one, two = quality.train(docs.repartition(1), labels), quality.train(docs.orderBy(F.desc("text")).repartition(7), labels)
+    assert one.value.tolist() == two.value.tolist() and one.cut == two.cut
+
+
+def thue_morse(n, first, second):
+    """A sequence and its complement: any sum over their bytes times powers of one base modulo 2**64 is the same."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join(first if b else second for b in bits), "".join(second if b else first for b in bits)
+
+
+def test_words_and_lines_made_to_collide(spark):
+    x, y = thue_morse(1024, "a", "b")
+    lines = [thue_morse(1024, "ab ", "cd ")[i].strip() for i in (0, 1)]
+    assert len({int(h) for h in arrays_hash([x, y, *lines, x[:256], y[:256], x[:255], x[:8], y[:8], x[:9]])}) == 10
+    docs = spark.createDataFrame([(1, x), (2, y), (3, lines[0]), (4, lines[1]), (5, f"{x} {y}\n{x}\n{y} {x} {y}")], "doc_id long, text string")
+    library = tokenizers.Tokenizer.from_file(bpe.default_vocabulary())
+    got = {r.doc_id: r for r in bpe.encoded_documents(docs).collect()}
+    for r in docs.collect():
+        assert list(got[r.doc_id].ids) == library.encode(r.text, add_special_tokens=False).ids and got[r.doc_id].same
+    counts = {r.doc_id: r for r in token_counts.count_tokens(docs).collect()}
+    alone = {i: next(iter(token_counts.count_tokens(docs.where(f"doc_id = {i}")).collect())) for i in (1, 2)}
+    assert {i: counts[i].n_tokens for i in (1, 2)} == {i: alone[i].n_tokens for i in (1, 2)}
+    items = spark.createDataFrame([(1, x), (2, lines[0])], ITEMS)
+    hit = {r.doc_id: list(r["items"]) for r in decontamination.find_contamination(docs, items).collect()}
+    assert hit == {1: [1], 2: [], 3: [2], 4: hit[4], 5: [1]} and hit[4] == brute.contamination([lines[1]], [(1, x), (2, lines[0])])[0][2]
+    near = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert near == {i: c for i, (_, c) in brute.near_components([tuple(r) for r in docs.collect()]).items()} and near[2] == 2
+    stats = quality.document_statistics(docs).collect()
+    for r in stats:
+        text = next(d.text for d in docs.collect() if d.doc_id == r.doc_id)
+        assert (r.n_dup_lines, r.n_repeat_words, r.n_distinct) == (brute.quality(text)[3], brute.quality(text)[4], len(set(text.split())))
+
+
+def arrays_hash(words):
+    joined = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    return arrays.word_hash(joined, ends - [len(w) for w in words], ends)
 
 
 def test_quality_without_rows(spark, nothing):

@@ -180,7 +180,7 @@ def test_pipeline_against_plain_versions(spark, tables):
     labels = spark.read.parquet(f"{tables}/labels.parquet")
     good = [r.doc_id for r in quality.judge(docs, quality.train(docs, labels)).where("kept").collect()]
     assert not any(brute.quality(texts[i])[5] for i in good)
-    parts = brute.near_components([(i, texts[i]) for i in good])
+    parts = brute.near_components([(i, texts[i]) for i in good], 80)
     kept = [i for i in sorted(good) if parts[i][1] == i]
     hit = brute.contamination([texts[i] for i in kept], tests)
     kept = [i for i, (_, n, _) in zip(kept, hit) if not n]
