@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,7 +51,31 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder (not yet created)."""
-    return f"{shared_folder(spark)}/stationflow/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stationflow/{purpose}-{uuid.uuid4().hex}"
+    for made in _collecting:
+        made.append(path)
+    return path
+
+
+# Lists that ``work_folders`` is keeping at the moment.
+_collecting: list[list[str]] = []
+
+
+@contextmanager
+def work_folders(spark: SparkSession) -> Iterator[list[str]]:
+    """Work folders made inside are removed at the end.
+
+    For steps whose result is written inside: until then, what they return reads
+    these folders.
+    """
+    made: list[str] = []
+    _collecting.append(made)
+    try:
+        yield made
+    finally:
+        _collecting.remove(made)
+        for path in made:
+            drop_folder(spark, path)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
