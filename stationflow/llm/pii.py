@@ -144,10 +144,55 @@ ADDED = (
         "SSN|ssn|Social Security|social security|Tax ID|tax id",
     ),
 )
+SECRETS = (
+    # Keys that tell by their first letters what they are of.
+    Kind(
+        "key",
+        r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}",
+        lambda t: F.rlike(t, F.lit("AKIA|gh[pousr]_|xox[abprs]-|sk-")), lambda m: F.lit(True), 0.7, "key|Key|token|Token|secret",
+    ),
+    # [A-Za-z0-9]{24,} with letters and digits, and a word that says what it is
+    Kind(
+        "secret",
+        r"(?<![A-Za-z0-9])[A-Za-z0-9]{24,}+",
+        lambda t: F.rlike(t, F.lit("token|Token|TOKEN|secret|Secret|SECRET|key|Key|KEY|assword|credential")),
+        lambda m: F.rlike(m, F.lit("[0-9]")) & F.rlike(m, F.lit("[A-Za-z]")), 0.3,
+        "token|Token|TOKEN|secret|Secret|SECRET|key|Key|KEY|assword|credential",
+    ),
+)
+KINDS = BASE + ADDED + SECRETS
 _SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
-def kind_spans(text: Column, kind: Kind, whole_context: bool = False) -> Column:
+# Items that are gone through before what they found is put aside.
+_BLOCK = 64
+
+
+def _gone_through(items: Column, zero: Column, step: Callable[[Column, Column], Column], empty: Column) -> Column:
+    """What ``step`` collects in ``found`` over all items; ``zero`` and ``step`` make its state.
+
+    An array that grows by one is copied each time, so a text with very many matches
+    is gone through in blocks: each block's finds are an array of their own, put
+    beside those of the blocks before.
+    """
+    start = F.struct(zero.alias("now"), F.filter(F.array(empty), lambda x: x.isNull()).alias("done"))
+
+    def over(items: Column) -> Column:
+        def block(seen: Column, i: Column) -> Column:
+            begins = seen["now"].withField("found", empty)
+            return F.struct(
+                F.aggregate(F.slice(items, i * _BLOCK + 1, _BLOCK), begins, step).alias("now"),
+                F.array_append(seen["done"], seen["now"]["found"]).alias("done"),
+            )
+
+        blocks = F.sequence(F.lit(0), ((F.size(items) - 1) / _BLOCK).cast("int"))
+        return F.aggregate(blocks, start, block, lambda s: F.flatten(F.array_append(s["done"], s["now"]["found"])))
+
+    # Inside a lambda the items are a value; as an expression they would be made again for each block.
+    return F.transform(F.array(items), over)[0]
+
+
+def kind_spans(text: Column, kind: Kind, whole_context: bool = True) -> Column:
     """``kind, start, end, score`` of the confirmed matches of a text, by start.
 
     Places are code points, the end is exclusive. A match that is not confirmed is
@@ -169,67 +214,92 @@ def kind_spans(text: Column, kind: Kind, whole_context: bool = False) -> Column:
         span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
         good = x["match"].isNotNull() & kind.valid(x["match"])
         if kind.length:
-            good = good & (start >= F.coalesce(F.try_element_at(seen["spans"], F.lit(-1))["end"], F.lit(0))) & end.isNotNull()
+            good = good & (start >= seen["free"]) & end.isNotNull()
         if not base and kind.score < REPORTED:
             good = good & near
-        spans = F.when(good, F.array_append(seen["spans"], span)).otherwise(seen["spans"])
+        spans = F.when(good, F.array_append(seen["found"], span)).otherwise(seen["found"])
         through = F.substring(x["match"], 1, kind.head) if kind.length else F.right(x["match"], F.lit(CONTEXT))
         before = last(seen["before"], gap, through) if whole_context else seen["before"]
-        return F.struct((start + taken).alias("at"), before.alias("before"), spans.alias("spans"))
+        free = F.when(good, end).otherwise(seen["free"]) if kind.length else seen["free"]
+        return F.struct((start + taken).alias("at"), before.alias("before"), free.alias("free"), spans.alias("found"))
 
     none = F.array().cast(_SPANS)
-    folded = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), none.alias("spans")), step)["spans"]
-    return F.when(kind.hint(text), folded).otherwise(none)
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.lit(0).alias("free"), none.alias("found"))
+    return F.when(kind.hint(text), _gone_through(found, zero, step, none)).otherwise(none)
 
 
-def all_spans(text: Column, kinds: tuple[Kind, ...] = BASE + ADDED, whole_context: bool = False) -> Column:
+def all_spans(text: Column, kinds: tuple[Kind, ...] = KINDS, whole_context: bool = True) -> Column:
     """The spans of all kinds; a null text has none."""
     content = F.coalesce(text, F.lit(""))
     return F.concat(*(kind_spans(content, k, whole_context) for k in kinds))
 
 
 def find_pii(
-    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", kinds: tuple[Kind, ...] = BASE + ADDED,
-    whole_context: bool = False,
+    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", kinds: tuple[Kind, ...] = KINDS,
+    whole_context: bool = True,
 ) -> DataFrame:
     """``keep`` and ``findings``: all spans, by kind in the order of ``kinds``, then start.
 
-    A null text is empty and has none. ``whole_context`` as in ``kind_spans``.
+    A null or empty text has none; the time a text takes grows with its length and its
+    matches. Null ids and repeated rows are rows as any other, no rows give none, and
+    columns that are not in ``keep`` are left out. ``whole_context`` as in ``kind_spans``.
     """
     return computed_once(docs, keep, "findings", all_spans(F.col(text), kinds, whole_context))
 
 
+# Characters of a text that are cut off at a time when it is put together anew.
+_CHUNK = 2048
+
+
+def _cut(chunks: Column, start: Column, end: Column) -> Column:
+    """Characters from ``start`` to before ``end`` of a text in chunks, without going through all before."""
+    a, b = (start / _CHUNK).cast("int"), (end / _CHUNK).cast("int")
+    piece = lambda i: F.coalesce(F.try_element_at(chunks, i + 1), F.lit(""))
+    within = F.substring(piece(a), start % _CHUNK + 1, end - start)
+    across = F.concat(
+        F.substring(piece(a), start % _CHUNK + 1, F.lit(_CHUNK)), F.array_join(F.slice(chunks, a + 2, b - a - 1), ""), F.substring(piece(b), F.lit(1), end % _CHUNK)
+    )
+    return F.when(end <= start, F.lit("")).when(a == b, within).otherwise(across)
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind, as ``<EMAIL>``.
 
     Of spans that overlap, the one that starts first names the whole stretch. A null
-    text stays null; ``n_chars``, where there is one, is counted anew.
+    text stays null; ``n_chars``, where there is one, is counted anew. Other columns
+    stay as they are, whatever their names.
     """
-    rest = [c for c in docs.columns if c != text]
-    found = computed_once(docs, docs.columns, "_findings", all_spans(F.col(text), whole_context=True))
-    order = F.array_sort(F.transform("_findings", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own = names[text]
+    plain = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    found = computed_once(plain, list(names.values()), "spans", all_spans(F.col(own)))
+    order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
     def step(seen: Column, s: Column) -> Column:
-        new = F.array(
-            F.substring(F.col(text), seen["at"] + 1, s["start"] - seen["at"]), F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        )
+        new = F.struct(seen["at"].alias("from"), s["start"].alias("to"), s["kind"].alias("kind"))
         return F.struct(
             F.greatest(seen["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= seen["at"], F.concat(seen["parts"], new)).otherwise(seen["parts"]).alias("parts"),
+            F.when(s["start"] >= seen["at"], F.array_append(seen["found"], new)).otherwise(seen["found"]).alias("found"),
         )
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    done = F.aggregate(
-        order, zero, step, lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(F.col(text), s["at"] + 1, 2**31 - 1))
-    )
-    clean = F.when(F.size("_findings") > 0, done).otherwise(F.col(text))
-    out = computed_once(found, rest, text, clean)
-    columns = [F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*columns)
+    none = F.array().cast("array<struct<from:int,to:int,kind:string>>")
+    parts = computed_once(found, list(names.values()), "cuts", F.struct(
+        _gone_through(order, F.struct(F.lit(0).alias("at"), none.alias("found")), step, none).alias("kept"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["end"])), F.lit(0)).alias("last"),
+        F.regexp_extract_all(own, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0)).alias("chunks"),
+        F.length(own).alias("size"),
+    ))
+    told = F.transform("cuts.kept", lambda c: F.concat(_cut(F.col("cuts.chunks"), c["from"], c["to"]), F.lit("<"), F.upper(c["kind"]), F.lit(">")))
+    done = F.concat(F.array_join(told, ""), _cut(F.col("cuts.chunks"), F.col("cuts.last"), F.col("cuts.size")))
+    clean = F.when(F.size("cuts.kept") > 0, done).otherwise(F.col(own))
+    out = computed_once(parts, [n for n in names.values() if n != own], own, clean)
+    return out.select(*(
+        (F.length(own).cast(docs.schema[c].dataType) if c == "n_chars" else F.col(n)).alias(c) for c, n in names.items()
+    ))
 
 
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
-    found = find_pii(spark.read.parquet(f"{folder}/documents.parquet"), whole_context=True)
+    found = find_pii(spark.read.parquet(f"{folder}/documents.parquet"))
     of = lambda *names: F.filter("findings", lambda s: s["kind"].isin(*names))
     told = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
@@ -251,14 +321,20 @@ z AS (
   UNION ALL SELECT k, 3, 'card', regexp_extract_all(text, '[0-9]([\x20-]?[0-9])+'), regexp_split_to_array(text, '[0-9]([\x20-]?[0-9])+') FROM t
   UNION ALL SELECT k, 4, 'phone', regexp_extract_all(text, '\+[0-9][\x20().0-9-]+[0-9]'), regexp_split_to_array(text, '\+[0-9][\x20().0-9-]+[0-9]') FROM t
   UNION ALL SELECT k, 5, 'iban', regexp_extract_all(text, '[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}'), regexp_split_to_array(text, '[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}') FROM t
-  UNION ALL SELECT k, 6, 'ssn', regexp_extract_all(text, '[0-9]+(?:-[0-9]+)+'), regexp_split_to_array(text, '[0-9]+(?:-[0-9]+)+') FROM t),
+  UNION ALL SELECT k, 6, 'ssn', regexp_extract_all(text, '[0-9]+(?:-[0-9]+)+'), regexp_split_to_array(text, '[0-9]+(?:-[0-9]+)+') FROM t
+  UNION ALL SELECT k, 7, 'key', regexp_extract_all(text, '(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,})'), regexp_split_to_array(text, '(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,})') FROM t
+  UNION ALL SELECT k, 8, 'secret', regexp_extract_all(text, '[A-Za-z0-9]{24,}'), regexp_split_to_array(text, '[A-Za-z0-9]{24,}') FROM t),
 u AS (SELECT k, o, kind, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS s, unnest(g[1:len(m)]) AS gap FROM z WHERE len(m) > 0),
 p AS (
   SELECT *, regexp_replace(s, '[^0-9]', '', 'g') AS d, replace(s, ' ', '') AS c,
-    sum(length(gap) + length(s)) OVER (PARTITION BY k, o ORDER BY i) AS stop FROM u),
+    CAST(sum(length(gap) + length(s)) OVER (PARTITION BY k, o ORDER BY i) AS BIGINT) AS stop FROM u),
+q AS (SELECT p.*, substr(text, greatest(stop - length(s) - 40, 0) + 1, least(stop - length(s), 40)) AS near FROM p JOIN t USING (k)),
 v AS (
-  SELECT * FROM p WHERE CASE kind
+  SELECT * FROM q WHERE CASE kind
     WHEN 'email' THEN true
+    WHEN 'key' THEN true
+    WHEN 'secret' THEN regexp_matches(s, '[0-9]') AND regexp_matches(s, '[A-Za-z]')
+      AND regexp_matches(near, 'token|Token|TOKEN|secret|Secret|SECRET|key|Key|KEY|assword|credential')
     WHEN 'ip' THEN len(list_filter(string_split(s, '.'), lambda x: TRY_CAST(x AS HUGEINT) <= 255)) = 4
     WHEN 'card' THEN length(d) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda j:
       CASE WHEN (length(d) - j) % 2 = 0 THEN CAST(substr(d, j, 1) AS INT)
@@ -268,7 +344,7 @@ v AS (
       CASE WHEN ascii(substr(substr(c, 5) || substr(c, 1, 4), j, 1)) < 65 THEN ascii(substr(substr(c, 5) || substr(c, 1, 4), j, 1)) - 48
       ELSE ascii(substr(substr(c, 5) || substr(c, 1, 4), j, 1)) - 55 END)), lambda a, b: (a * CASE WHEN b < 10 THEN 10 ELSE 100 END + b) % 97) = 1
     ELSE regexp_full_match(s, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND NOT regexp_matches(s, '^(000|666|9)|^....00|0000$')
-      AND regexp_matches(right(gap, 40), 'SSN|ssn|Social Security|social security|Tax ID|tax id') END),
+      AND regexp_matches(near, 'SSN|ssn|Social Security|social security|Tax ID|tax id') END),
 a AS (
   SELECT k, count(*) FILTER (o = 1) AS e, count(*) FILTER (o = 2) AS ip, count(*) FILTER (o = 3) AS c, count(*) FILTER (o = 4) AS ph,
     string_agg(concat(kind, ':', stop - length(s), ':', stop), ',' ORDER BY o, i) FILTER (o < 5) AS base,

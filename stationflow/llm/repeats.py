@@ -1,4 +1,9 @@
-"""Removal of repeated passages by refining buckets of substrings.
+"""Removal of repeated passages by anchors, in two steps of buckets.
+
+This is not the refinement of bucket pointers, which sorts every position again on
+the bucket identifiers of later offsets: that shuffles some twenty bytes or more per
+byte of text in each round, beyond a budget of four times the input. One position in
+30 is enough here, and two steps instead of rounds.
 
 A byte goes if some 100-byte string covering it also starts earlier. Every such
 string holds an anchor: the 32-byte string of least hash among the 69 inside it, so
