@@ -146,6 +146,7 @@ def windowed_agg(
     panes: bool | None = None,
     start: str = "window_start",
     end: str = "window_end",
+    chained: bool = False,
 ) -> DataFrame:
     """``metrics`` per time window (and ``keys``), with the window as two columns.
 
@@ -154,23 +155,24 @@ def windowed_agg(
     of a stream must be TIMESTAMP, a table's may be TIMESTAMP_NTZ as well.
 
     A sliding window copies each row into every window it is in before
-    aggregating. ``panes`` aggregates rows into the panes windows are
+    aggregating. On a table, ``panes`` aggregates rows into the panes windows are
     made of first -- the greatest common divisor of size and slide -- and copies
     pane rows only; columns of distinct-value metrics group the panes as well. By
     default that is done for sliding windows and for ``set`` metrics, but not
     with ``approx_distinct``, whose column may have about as many values as there
     are rows: pass True where it has few.
 
-    On a stream, ``panes=True`` chains two aggregates in append mode: state holds
-    pane rows and window rows that were merged once per pane, instead of a copy of
-    every row in all its windows. A row is then late when its pane is over, though
-    later windows it is in may not be. ``sketch_distinct`` goes by panes there too.
+    On a stream, ``chained`` does the same by two aggregates one after the other, in
+    append mode: panes are copied into windows, instead of every row into all its
+    windows. A row is then late when its pane is over, though later windows it is in
+    may not be. A table is not affected.
     """
     slide = slide or size
     kinds = {m.fn for m in metrics}
     if rows.isStreaming:
         if "bitmap_distinct" in kinds:
             raise ValueError("windowed_agg: bitmap_distinct is for tables")
+        panes = chained
         if watermark:
             rows = rows.withWatermark(time, watermark)
     elif panes is None:

@@ -123,7 +123,7 @@ def stream_win_panes(spark, folder):
 
     def chained(events):
         return windowed_agg(
-            as_readings(events), "ts", "5 minutes", "1 minute", ["city"], BROKER_PANES, "10 minutes", panes=True
+            as_readings(events), "ts", "5 minutes", "1 minute", ["city"], BROKER_PANES, "10 minutes", chained=True
         )
 
     out = new_work_folder(spark, "win-panes-out")

@@ -272,7 +272,8 @@ class RunningTable(CommittedTable):
             if query is not None and last.batches.get(query, -1) >= batch_id:
                 return False
             held: dict[str, str] = last.notes.get("buckets", {})
-            touched = [str(r[0]) for r in parts.select("_bucket").distinct().collect()]
+            # At most ``buckets`` numbers.
+            touched = [str(b) for b in parts.agg(F.collect_set("_bucket")).first()[0]]
             before = self.read_folders([held[b] for b in touched if b in held], T.StructType(parts.schema.fields))
             whole = merge_parts(parts.unionByName(before), [*self.keys, "_bucket"], self.metrics, rows.schema)
             name = self.new_folder()

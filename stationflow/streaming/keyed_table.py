@@ -158,8 +158,8 @@ class KeyedTable(CommittedTable):
         if not folders:
             return None
         asked = self.candidates(incoming, folders, facts)
-        # One row per folder: which of them have to be read.
-        read = [r.folder for r in asked.select("folder").distinct().collect()]
+        # Which folders have to be read: a set no larger than the commit that lists them.
+        read = asked.agg(F.collect_set("folder")).first()[0]
         if not read:
             return None
         held = self.read_folders([f"{folder}/rows" for folder in read], schema).select(self.key)

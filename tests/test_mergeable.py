@@ -87,7 +87,7 @@ def test_chained_windows_on_a_stream(spark):
         work = new_work_folder(spark, "chained")
         lay_down(frame, "ts", f"{work}/in", 6)
         stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
-        windows = windowed_agg(stream, "ts", "5 minutes", "1 minute", ["city"], metrics, "1 minute", panes=panes)
+        windows = windowed_agg(stream, "ts", "5 minutes", "1 minute", ["city"], metrics, "1 minute", chained=panes)
         query = start_query(
             windows, f"chained-{panes}", "append", "parquet", checkpoint=f"{work}/checkpoint", trigger={"availableNow": True}, options={"path": f"{work}/out"}
         )
