@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import importlib.metadata
 import random
 import re
+import textwrap
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from stationflow.llm import chat, components, licences, near_dedup, pii, quality, registry, url_rules
+from stationflow.llm import chat, components, licence_texts, licences, near_dedup, pii, quality, registry, url_rules
 
 from . import brute
 
@@ -173,6 +176,123 @@ def test_licences_on_held_out_lines(spark):
     assert licences.scan_licences(docs.limit(0), classifier).count() == 0
 
 
+@pytest.fixture(scope="module")
+def licence_judge(spark, tables):
+    return licences.train(spark.read.parquet(f"{tables}/documents.parquet"))
+
+
+def licence_rows(spark, judge, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r for r in sorted(licences.scan_licences(docs, judge).collect(), key=lambda r: r.doc_id)]
+
+
+def test_licences_in_other_shapes(spark, licence_judge):
+    texts = licence_texts.LICENCES
+    mit, bsd, gnu = texts["mit"].texts[0], texts["bsd"].texts[0], texts["gpl-3.0"].texts[0]
+    flat = lambda t: " ".join(t.split())
+    wrapped = lambda t, n: "\n".join(textwrap.wrap(flat(t), n))
+    marked = "\n".join("# " + line for line in gnu.split("\n"))
+    shapes = [
+        (flat(mit.split("\n\n")[0]), "mit", 1), (wrapped(mit.split("\n\n")[0], 31), "mit", 1), (mit, "mit", 3), (wrapped(bsd, 60), "bsd", 1),
+        (bsd.split("\n\n")[0], "bsd", 1), ("GNU LESSER GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", "lgpl", 1),
+        ("// SPDX-License-Identifier: MIT", "mit", 1), ("Boost Software License - Version 1.0 - August 17th, 2003", "boost", 1),
+        (marked, "gpl-3.0", 3), (f"{flat(mit)} Licensed under CC BY 4.0. That is all there is to say.", "cc-by,mit", 1), ("MIT License", "mit", 1),
+    ]
+    shapes += [(flat(t), family, 1) for family, licence in texts.items() for t in licence.texts[:1] if len(t.split()) < 200]
+    for (text, family, n), row in zip(shapes, licence_rows(spark, licence_judge, [s[0] for s in shapes]), strict=True):
+        assert (",".join(row.families), row.n_paragraphs) == (family, n), text
+
+
+def test_licences_of_real_files(spark, licence_judge):
+    """Texts as distributions ship them; none of these wrappings was trained on."""
+    wanted = {"attrs": "mit", "urllib3": "mit", "pytest": "mit", "PyYAML": "mit", "Pygments": "bsd", "zstandard": "bsd", "idna": "bsd", "requests": "apache-2.0"}
+    found = {}
+    for name in wanted:
+        try:
+            files = importlib.metadata.files(name) or []
+        except importlib.metadata.PackageNotFoundError:
+            continue
+        texts = [f.locate().read_text(errors="replace") for f in files if "LICENSE" in f.name.upper() and f.locate().exists()]
+        if texts:
+            found[name] = texts[0]
+    if not found:
+        pytest.skip("no licence files")
+    for name, row in zip(found, licence_rows(spark, licence_judge, list(found.values())), strict=True):
+        assert wanted[name] in row.families and len(row.families) == 1, name
+
+
+def test_licences_of_no_family_and_plain_text(spark, licence_judge):
+    import inspect
+    import statistics
+
+    none = ["Licensed under the Gadget Public License.", "SPDX-License-Identifier: Artistic-2.0", "Use of this software is subject to the Foo license terms."]
+    rows = licence_rows(spark, licence_judge, none)
+    assert all(r.n_unknown == 1 and not r.families for r in rows)
+    prose = [" ".join(p.split()) for _, f in inspect.getmembers(statistics, callable) for p in (inspect.getdoc(f) or "").split("\n\n") if ">>>" not in p]
+    prose = [p for p in prose if not re.search("licen[sc]e|copyright", p, re.I)]
+    rows = licence_rows(spark, licence_judge, prose)
+    assert len(prose) > 100 and not any(r.families for r in rows)
+    assert sum(r.n_unknown for r in rows) <= 0.01 * sum(r.n_paragraphs for r in rows)
+    junk = ["the " * 500, "", None, " \n\n ", "?!", "a", "x" * 200_000, "Licensed under the " * 2]
+    assert [(r.n_licence, r.n_unknown) for r in licence_rows(spark, licence_judge, junk[:-1])] == [(0, 0)] * 7
+
+
+def test_licences_rows_and_names(spark, licence_judge):
+    line = "Released under the MIT License."
+    docs = spark.createDataFrame(
+        [(None, line, "a"), (1, line, "b"), (1, line, "c"), (1, None, None)], "id long, body string, families string"
+    ).withColumn("n_unknown", F.lit(3)).withColumn("text", F.lit("none")).withColumn("doc_id", F.lit(9))
+    rows = licences.scan_licences(docs, licence_judge, doc="id", text="body").collect()
+    assert sorted((r.doc_id or 0, r.n_licence) for r in rows) == [(0, 1), (1, 0), (1, 1), (1, 1)]
+    empty = licences.train(docs.limit(0), doc="id", text="body")
+    assert [r.families for r in licence_rows(spark, empty, [line, "The station reads the wind."])] == [["mit"], []]
+    own = licences.train(docs, "id", "body", {"house": licence_texts.Licence(("House Licence",), (), ("Whoever enters may read all books of this house but shall take none away from it.",))})
+    rows = licence_rows(spark, own, ["Note: whoever enters may read all books of this house but shall take none away from it."])
+    assert rows[0].families == ["house"]
+
+
+def test_licence_pieces_against_plain_version():
+    rng = random.Random(5)
+    marks = [" ", " ", " ", " ", "\n", ". ", "\n\n", " \n \t\n", ".", "; ", "\n# \n", "é "]
+    texts = ["".join(rng.choice(["a", "bc", "ü1", "Lic"]) + rng.choice(marks[: rng.choice([4, 6, 12])]) for _ in range(rng.randint(0, 300))) for _ in range(80)]
+    texts = ["", None, "...", "a", *texts, "a\n\nb"]
+    p = licences.pieces(pa.array(texts, pa.string()))
+    words, paragraph_of = [], []
+    expected = set()
+    for i, text in enumerate(texts):
+        lines, paragraphs = (text or "").split("\n"), [[]]
+        for line in lines:
+            if not re.search(brute.PLAIN, line.lower()):
+                paragraphs.append([])
+            paragraphs[-1].append(line)
+        for lines in paragraphs:
+            base = len(words)
+            sentences = []
+            for line in lines:
+                for sentence in re.split(r"(?<=[.!?;])(?=[ \t\r\n])", line):
+                    got = re.findall(brute.PLAIN, sentence.lower())
+                    if got:
+                        sentences.append((len(words), len(words) + len(got)))
+                        words += got
+            n = len(words) - base
+            if not n:
+                continue
+            paragraph_of.append(i)
+            number = len(paragraph_of) - 1
+            at = 0
+            while at == 0 or at + licences.WINDOW // 2 < n:
+                expected.add((base + at, min(base + at + licences.WINDOW, base + n), number, True))
+                at += licences.WINDOW // 2
+            for a, b in sentences:
+                if b - a <= licences.WINDOW and (b - a < n or n > licences.WINDOW):
+                    expected.add((a, b, number, False))
+    got = list(zip(p.first.tolist(), p.last.tolist(), p.paragraph.tolist(), p.window.tolist()))
+    assert len(got) == len(set(got)) and set(got) == expected and p.text_of.tolist() == paragraph_of
+    for i in range(0, len(got), 7):
+        own = words[got[i][0] : got[i][1]]
+        assert len(p.triples(i)) == (len(set(zip(own, own[1:], own[2:]))) if len(own) > 2 else 1)
+
+
 def test_pipeline_against_plain_versions(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
