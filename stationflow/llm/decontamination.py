@@ -6,7 +6,9 @@ table, so the index is built once and may be asked many times. A test phrase is
 looked up by its rarest term (by counts over the whole index); every occurrence
 proposes a start, and the lists of the next rarest terms, moved by their offsets,
 are intersected with the starts that are left. What survives all terms is an exact
-match; with a slop, terms may each stand that many words off their place.
+match; with a slop, terms may each stand that many words off their place, and every
+start that the rarest term allows is tried, so the result does not depend on which
+term is the rarest.
 
 Segments are cut by text, not by term, so no list of a frequent term ever meets in
 one task, and the postings are never shuffled.
@@ -28,6 +30,8 @@ from .shipping import ship
 from .steps import stored
 
 WINDOW = 10
+# Words that a term may stand off its place, in the query.
+SLOP = 2
 # Bytes of text per index segment.
 SEGMENT_BYTES = 1 << 20
 # Phrases asked in one pass over the index; more are asked in more passes.
@@ -39,7 +43,7 @@ _INDEX = (
     "segment long, doc_ids array<long>, doc_words array<long>, terms array<long>, "
     "sizes array<int>, positions array<int>"
 )
-_HITS = "segment long, ordinal int, hits array<long>, items array<long>, n_near long"
+_HITS = "segment long, ordinal int, hits array<long>, items array<long>, near array<long>"
 
 
 def _terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -153,42 +157,58 @@ def _packed(rows) -> tuple:
     return terms, offs, sizes, np.array([x for r in rows for x in r.items], np.int64)
 
 
-def _starts(keys, terms, sizes, ask, offs, slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """Phrase and start of every match in one segment.
+def _starts(keys, terms, sizes, ask, offs, slop: int, begins, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phrase, start and document of every match in one segment.
 
-    ``keys`` are the postings as (place of the term, position), ascending.
+    ``keys`` are the postings as (place of the term, position), ascending; ``begins``
+    and ``words`` say which positions each document has. All terms of a match are in
+    one document; with a slop its start may be outside.
     """
+    none = np.zeros(0, np.int64)
     heads = np.cumsum(sizes) - sizes
     place = np.searchsorted(terms, ask)
     place[place == len(terms)] = 0
     there = (terms[place] == ask) | (offs < 0)
     phrase = np.flatnonzero(there.all(axis=1))
     if not len(phrase):
-        return phrase, phrase
+        return none, none, none
     first = place[phrase, 0]
     count = sizes[first].astype(np.int64)
-    posting = A.ragged(heads[first].astype(np.int64), count)
-    start = (keys[posting] & 0xFFFFFFFF) - np.repeat(offs[phrase, 0], count)
+    at = keys[A.ragged(heads[first].astype(np.int64), count)] & 0xFFFFFFFF
+    shift = np.repeat(offs[phrase, 0], count)
     phrase = np.repeat(phrase, count)
+    doc = np.searchsorted(begins, at, "right") - 1
+    start = (at - shift)[:, None] + np.arange(-slop, slop + 1)
+    phrase, doc, start = np.repeat(phrase, 2 * slop + 1), np.repeat(doc, 2 * slop + 1), start.ravel()
     for k in range(1, ask.shape[1]):
         if not len(phrase):
             break
         off = offs[phrase, k]
         base = place[phrase, k].astype(np.int64) << 32
-        expected = start + off
-        low = base + np.maximum(expected - slop, 0)
-        at = np.minimum(np.searchsorted(keys, low), len(keys) - 1)
-        ok = (keys[at] >= low) & (keys[at] <= base + expected + slop) & (expected + slop >= 0)
+        low = np.maximum(start + off - slop, begins[doc])
+        high = np.minimum(start + off + slop, begins[doc] + words[doc] - 1)
+        found = np.minimum(np.searchsorted(keys, base + low), len(keys) - 1)
+        ok = (keys[found] >= base + low) & (keys[found] <= base + high)
         ok |= off < 0
-        phrase, start = phrase[ok], start[ok]
-    return phrase, start
+        phrase, start, doc = phrase[ok], start[ok], doc[ok]
+    return phrase, start, doc
+
+
+def _items_by_doc(phrase, doc, item_heads, item_sizes, items) -> tuple[np.ndarray, np.ndarray]:
+    """Document and item of each pair that has a match, once, ascending."""
+    item = items[A.ragged(item_heads[phrase], item_sizes[phrase])]
+    of = np.repeat(doc, item_sizes[phrase])
+    order = np.lexsort((item, of))
+    item, of = item[order], of[order]
+    once = A.first_of_run(of, item)
+    return of[once], item[once]
 
 
 def match_phrases(index: DataFrame, asked: tuple, slop: int = 0) -> DataFrame:
-    """``segment, ordinal, hits, items, n_near`` of each document with a match.
+    """``segment, ordinal, hits, items, near`` of each document with a match.
 
     ``hits`` are word numbers inside any exact occurrence, ``items`` the tests these
-    are of, ``n_near`` how many more places match with ``slop``.
+    are of, ``near`` the tests of which a window matches with ``slop``.
     """
     ask, offs, item_sizes, items = asked
     lengths = (offs >= 0).sum(axis=1)
@@ -206,26 +226,14 @@ def match_phrases(index: DataFrame, asked: tuple, slop: int = 0) -> DataFrame:
                 words = get("doc_words")
                 begins = np.cumsum(words) - words + np.arange(len(words))
                 keys = (np.repeat(np.arange(len(terms)), sizes) << 32) | at
-                phrase, start = _starts(keys, terms, sizes, ask, offs, 0)
-                near = np.zeros(len(words), np.int64)
+                phrase, start, doc = _starts(keys, terms, sizes, ask, offs, 0, begins, words)
+                near_doc, near = item_doc, item = _items_by_doc(phrase, doc, item_heads, item_sizes, items)
                 if slop:
-                    p, s = _starts(keys, terms, sizes, ask, offs, slop)
-                    doc = np.searchsorted(begins, np.maximum(s, 0), "right") - 1
-                    inside = (s >= begins[doc]) & (s + lengths[p] <= begins[doc] + words[doc])
-                    near = np.bincount(doc[inside], minlength=len(words))
-                doc = np.searchsorted(begins, start, "right") - 1
-                exact = np.bincount(doc, minlength=len(words))
-                hit = A.ragged(start, lengths[phrase])
-                hit_doc = np.repeat(doc, lengths[phrase])
-                hit = np.unique(hit)
+                    loose, _, loose_doc = _starts(keys, terms, sizes, ask, offs, slop, begins, words)
+                    near_doc, near = _items_by_doc(loose, loose_doc, item_heads, item_sizes, items)
+                hit = np.unique(A.ragged(start, lengths[phrase]))
                 hit_doc = np.searchsorted(begins, hit, "right") - 1
-                item = items[A.ragged(item_heads[phrase], item_sizes[phrase])]
-                item_doc = np.repeat(doc, item_sizes[phrase])
-                order = np.lexsort((item, item_doc))
-                item, item_doc = item[order], item_doc[order]
-                once = A.first_of_run(item_doc, item)
-                item, item_doc = item[once], item_doc[once]
-                some = np.flatnonzero((exact > 0) | (near > exact))
+                some = np.union1d(item_doc, near_doc)
                 cut = lambda of, values: pa.ListArray.from_arrays(
                     pa.array(np.append(np.searchsorted(of, some), len(of)), pa.int32()), pa.array(values, pa.int64())
                 )
@@ -236,9 +244,9 @@ def match_phrases(index: DataFrame, asked: tuple, slop: int = 0) -> DataFrame:
                             pa.array(some, pa.int32()),
                             cut(hit_doc, hit - begins[hit_doc]),
                             cut(item_doc, item),
-                            pa.array((near - exact).clip(0)[some], pa.int64()),
+                            cut(near_doc, near),
                         ],
-                        ["segment", "ordinal", "hits", "items", "n_near"],
+                        ["segment", "ordinal", "hits", "items", "near"],
                     )
 
     return index.mapInArrow(match, _HITS)
@@ -248,10 +256,13 @@ def find_contamination(
     docs: DataFrame, tests: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text",
     window: int = WINDOW, slop: int = 0, pass_phrases: int = PASS_PHRASES,
 ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, n_hit, items, n_near``.
+    """Per row of ``docs``: ``doc_id, n_words, n_hit, items, near_items, n_near``.
 
-    ``items`` are the tests that share a window with the document, ascending;
-    ``n_near`` counts places that match a window within ``slop`` only. Null texts
+    ``items`` are the tests that share a window with the document, ascending.
+    ``near_items`` are other tests that share one within ``slop``, ascending, and ``n_near``
+    their number: there is a start, inside the document or before or after it, so that
+    every word of the window stands in the document at most ``slop`` words off its place
+    from there (one word of the document may stand for several equal ones). Null texts
     have no words; a null id is kept; rows that share an id are told apart; with no
     documents or no tests nothing is hit. Other columns are left out.
     """
@@ -274,8 +285,9 @@ def find_contamination(
     by_doc = found.groupBy("segment", "ordinal").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.sum("n_near").alias("n_near"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"),
     )
+    by_doc = by_doc.withColumn("near", F.array_except("near", "items"))
     every = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "doc_words")).alias("ordinal", "d"))
     every = every.select("segment", "ordinal", F.col("d.doc_ids").alias("doc_id"), F.col("d.doc_words").alias("n_words"))
     return every.join(by_doc, ["segment", "ordinal"], "left").select(
@@ -283,7 +295,8 @@ def find_contamination(
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<long>")).alias("items"),
-        F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
+        F.coalesce("near", F.array().cast("array<long>")).alias("near_items"),
+        F.coalesce(F.size("near"), F.lit(0)).cast("long").alias("n_near"),
     )
 
 
@@ -300,7 +313,7 @@ def decontaminate(docs: DataFrame, tests: DataFrame, **names) -> DataFrame:
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     tests = spark.read.parquet(f"{folder}/benchmark.parquet")
-    found = find_contamination(docs, tests, slop=2)
+    found = find_contamination(docs, tests, slop=SLOP)
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
     return found.select(
         "doc_id",
@@ -309,6 +322,7 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
     )
 
 
@@ -329,8 +343,24 @@ m AS (SELECT doc_id, i, dg.n, item_id FROM dg JOIN win USING (n, g)),
 h AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS k FROM m) GROUP BY doc_id),
 it AS (
   SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+gk AS (SELECT g, n, unnest(g) AS word, unnest(range(1, n + 1)) AS k FROM (SELECT DISTINCT g, n FROM win)),
+rare AS (
+  SELECT g, n, word, k FROM gk LEFT JOIN (SELECT word, count(*) AS c FROM p GROUP BY word) USING (word)
+  QUALIFY row_number() OVER (PARTITION BY g ORDER BY coalesce(c, 0), k) = 1),
+cand AS (SELECT DISTINCT g, n, doc_id, i - k + o AS s FROM rare JOIN p USING (word), (SELECT unnest(range(-2, 3)) AS o)),
+near AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT cand.doc_id, cand.g, s FROM cand JOIN gk ON gk.g = cand.g
+    JOIN p ON p.doc_id = cand.doc_id AND p.word = gk.word AND p.i BETWEEN s + gk.k - 2 AND s + gk.k + 2
+    GROUP BY cand.doc_id, cand.g, s, cand.n HAVING count(DISTINCT gk.k) = cand.n)),
+nr AS (
+  SELECT doc_id, count(*) AS n_near FROM (
+    SELECT DISTINCT doc_id, item_id FROM near JOIN win USING (g) EXCEPT SELECT DISTINCT doc_id, item_id FROM m)
+  GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id) LEFT JOIN nr USING (doc_id)
 """

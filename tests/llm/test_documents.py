@@ -83,6 +83,35 @@ def test_near_matches_within_a_slop(spark):
     assert got == {1: (0, 1), 2: (4, 0), 3: (0, 0)}
 
 
+def test_near_matches_at_the_edges(spark):
+    docs = spark.createDataFrame([(1, "two one three four"), (2, "x two one three four"), (3, "one two three"), (4, "four three two one")], "doc_id long, text string")
+    tests = spark.createDataFrame([(7, "one two three four"), (8, "four one")], ITEMS)
+    got = {r.doc_id: (r["items"], r.near_items, r.n_near) for r in decontamination.find_contamination(docs, tests, slop=1).collect()}
+    assert got == {1: ([], [7], 1), 2: ([], [7], 1), 3: ([], [], 0), 4: ([], [8], 1)}
+
+
+@pytest.mark.parametrize("slop", [1, 2])
+def test_near_matches_against_brute_force(spark, slop):
+    rng = random.Random(slop)
+    text = lambda n: " ".join(rng.choice("abcdefg") for _ in range(n))
+    rows = [(i, text(rng.randint(0, 14))) for i in range(150)] + [(150, None), (151, "a")]
+    tests = [(i, text(rng.randint(1, 7))) for i in range(25)] + [(25, ""), (26, "a b")]
+    found = decontamination.find_contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(tests, ITEMS), window=5, slop=slop)
+    got = {r.doc_id: (r["items"], r.near_items) for r in found.collect()}
+    for i, body in rows:
+        words, exact, near = (body or "").split(), set(), set()
+        for item, test in tests:
+            own = test.split()
+            for window in {tuple(own[j : j + 5]) for j in range(max(len(own) - 4, 1))} if own else ():
+                if any(tuple(words[s : s + len(window)]) == window for s in range(len(words))):
+                    exact.add(item)
+                within = lambda s: all(w in words[max(s + k - slop, 0) : max(s + k + slop + 1, 0)] for k, w in enumerate(window))  # noqa: E731, B023
+                if any(within(s) for s in range(-10, len(words) + 10)):
+                    near.add(item)
+        assert got[i] == (sorted(exact), sorted(near - exact))
+    assert any(v[1] for v in got.values())
+
+
 def test_an_index_of_all_terms_gives_the_same(spark, docs, rows, monkeypatch):
     tests = spark.createDataFrame(items_of(rows), ITEMS)
     narrow = sorted(map(str, decontamination.find_contamination(docs, tests).collect()))
