@@ -92,8 +92,10 @@ def _big_documents(orders: DataFrame, path: str, documents: int = 4) -> None:
         F.concat(F.col("o_orderpriority"), F.lit(' "}{[, \\')).alias("condition"), F.col("o_orderkey").cast("double").alias("precipitation"),
     )
     rows = orders.select(F.pmod("o_orderkey", F.lit(documents)).alias("k"), F.col("o_orderkey").alias("at"), F.to_json(record).alias("value"))
+    # One row a document. A join that deals the rows by ``k`` would make the union count as dealt by ``k`` too: no shuffle
+    # would follow, and head, rows and foot, each with tasks of their own, would be files of their own.
     first = rows.groupBy("k").agg(F.min("at").alias("first"))
-    rows = rows.join(first, "k").select("k", "at", F.concat(F.when(F.col("at") == F.col("first"), "").otherwise(","), "value").alias("value"))
+    rows = rows.join(F.broadcast(first), "k").select("k", "at", F.concat(F.when(F.col("at") == F.col("first"), "").otherwise(","), "value").alias("value"))
     head = first.select("k", F.lit(-1).cast("long").alias("at"), F.lit('{"metadata": {"weather_data": [{"city": "none"}]},\n"weather_data": [').alias("value"))
     foot = first.select("k", F.lit(2**62).alias("at"), F.lit('],\n"more": [{"city": "none"}]}').alias("value"))
     lines = rows.union(head).union(foot).repartition("k").sortWithinPartitions("k", "at")

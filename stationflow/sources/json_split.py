@@ -122,18 +122,21 @@ def split_json_array(
         placed = placed.join(sofar, _KEY)
         placed = placed.withColumn("open", F.coalesce(F.last("told", True).over(here), F.col("told_before"), F.lit(False)))
     ends = F.col("m.closes") & F.col("open") & (ends_at == level)
-    placed = placed.select(*_KEY, "seq", "opened", ends.alias("ends"))
+    placed = placed.select(*_KEY, "seq", "opened", "open", ends.alias("ends"))
     placed.write.parquet(f"{work}/places")
     placed = spark.read.schema(placed.schema).parquet(f"{work}/places")
 
     # Which record is it of? A record goes on until it ends; an array that opens begins a new one.
     steps = placed.groupBy(*_KEY).agg(F.count_if("ends").alias("e"), F.count("opened").alias("o"))
-    steps = _before(steps, F.col("e"), "ends_before").join(_before(steps, F.col("o"), "opens_before"), _KEY)
+    in_file = steps.groupBy("source_file").agg(F.sum("e").alias("ends_in_file"))
+    steps = _before(steps, F.col("e"), "ends_before").join(_before(steps, F.col("o"), "opens_before"), _KEY).join(in_file, "source_file")
     numbered = placed.join(steps, _KEY).select(
-        *_KEY, "seq", "opened", "ends",
+        *_KEY, "seq", "opened", "open", "ends", "ends_in_file",
         (F.col("ends_before") + F.coalesce(F.count_if("ends").over(earlier), F.lit(0))).alias("ordinal"),
         (F.col("opens_before") + F.count("opened").over(here)).alias("array"),
     )
+    # What stands outside the array, or after the last record's end, is of no record, and would be one group however long it is.
+    numbered = numbered.where(F.col("open") & (F.col("ordinal") < F.col("ends_in_file"))).drop("open", "ends_in_file")
     text = F.col("text")
     if field is not None:
         parts = F.split("text", opener)

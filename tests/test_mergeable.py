@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 import random
 import re
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationflow.operators import Metric, distinct_count, group_metrics, numbered, overall, windowed_agg
+from stationflow.plans.testbed.readers import _big_documents, nested_document_split
 from stationflow.plans.testbed.replay import drain, lay_down
 from stationflow.session import new_work_folder
 from stationflow.sources import split_json_array
@@ -161,3 +163,54 @@ def test_split_of_several_and_of_empty_files(spark, tmp_path):
     (tmp_path / "flat").mkdir()
     (tmp_path / "flat" / "a.json").write_text("﻿[]")
     assert split_json_array(spark, str(tmp_path / "flat"), RECORD, new_work_folder(spark, "split")).collect() == []
+
+
+@pytest.fixture()
+def planned_as_large(spark):
+    """Joins are planned as those of large tables are, and of the shuffles the larger ones keep more partitions."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key in conf:
+        spark.conf.unset(key)
+
+
+def test_big_documents_are_one_file_each(spark, tmp_path, planned_as_large):
+    rows = [(i // 2 if i < 4 else i, i % 9, "OFP"[i % 3], i / 4, datetime.datetime(2024, 1, 1 + i % 28), f"{i % 5}-LOW") for i in range(300)]
+    kinds = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "orders.parquet"))
+    _big_documents(spark.read.parquet(str(tmp_path / "orders.parquet")), str(tmp_path / "documents"))
+    got = nested_document_split(spark, str(tmp_path)).collect()
+    assert [len(list(d.glob("*.txt"))) for d in sorted((tmp_path / "documents").glob("k=*"))] == [1, 1, 1, 1]
+    want = [(s, f"{t:%Y-%m-%d}", p, float(c), f'{o} "}}{{[, \\', float(k), 1) for k, c, s, p, t, o in rows]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def final_groups(plan):
+    """Rows out of the topmost aggregate that collects, of a plan that has run."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "ObjectHashAggregateExec":
+        return plan.metrics().apply("numOutputRows").value()
+    inner = plan.executedPlan() if kind == "AdaptiveSparkPlanExec" else plan.plan() if kind.endswith("QueryStageExec") else None
+    below = [inner] if inner else [plan.children().apply(i) for i in range(plan.children().size())]
+    return next((n for n in map(final_groups, below) if n is not None), None)
+
+
+@pytest.mark.parametrize("field", [None, "data"])
+def test_texts_of_no_record_are_not_collected(spark, tmp_path, small_splits, field):
+    records, other = [{"a": i, "b": "x"} for i in range(50)], [[{"a": -i}] for i in range(1, 400)]
+    array = json.dumps([*records, *other])
+    text = array if field is None else f'{{"other": {json.dumps(other)}, "data": {array}, "more": {json.dumps(other)}}}'
+    (tmp_path / "doc.json").write_text(text)
+    (tmp_path / "bare.json").write_text(", ".join(map(json.dumps, records)) + "]}")
+    got = split_json_array(spark, str(tmp_path / "doc.json"), RECORD, new_work_folder(spark, "split"), field)
+    assert sorted((r.ordinal, r.a) for r in got.collect()) == [(i, i) for i in range(50)]
+    assert final_groups(got._jdf.queryExecution().executedPlan()) == 50
+    if field:  # a file without the array
+        got = split_json_array(spark, str(tmp_path / "bare.json"), RECORD, new_work_folder(spark, "split"), field)
+        assert got.collect() == []
+        assert not final_groups(got._jdf.queryExecution().executedPlan())
